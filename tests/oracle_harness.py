@@ -1,0 +1,113 @@
+"""Run a catalogue query in Spark and its oracle SQL in DuckDB; compare.
+
+Comparison: same column names, same row count, and the same multiset of
+rows after normalising values (floats to 9 significant digits, dates and
+timestamps to ISO text).  Usable from pytest and as a script:
+
+    python tests/oracle_harness.py /root/testdata/sf0.01 [key ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+import time
+from collections import Counter
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.9g}")
+    if isinstance(v, decimal.Decimal):
+        return float(f"{float(v):.9g}")
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    return v
+
+
+def compare(spark, sf_dir: str, key: str, con=None) -> dict:
+    import importlib
+
+    entry = importlib.import_module("__spark_entry__")
+    q = entry.queries()[key]
+    sql = entry.oracle_sql().get(key)
+    t0 = time.time()
+    sdf = q(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(norm(v) for v in r) for r in sdf.collect()]
+    t1 = time.time()
+    out = {"key": key, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
+    if sql is None:
+        out["oracle"] = None
+        return out
+    con = con or duck(sf_dir)
+    cur = con.execute(sql)
+    d_cols = [c[0] for c in cur.description]
+    d_rows = [tuple(norm(v) for v in r) for r in cur.fetchall()]
+    out["oracle_rows"] = len(d_rows)
+    out["columns_match"] = sorted(s_cols) == sorted(d_cols)
+    if out["columns_match"]:
+        order = [d_cols.index(c) for c in s_cols]
+        d_rows = [tuple(r[i] for i in order) for r in d_rows]
+    out["values_match"] = out["columns_match"] and Counter(s_rows) == Counter(d_rows)
+    if not out["values_match"]:
+        out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
+        sc, dc = Counter(s_rows), Counter(d_rows)
+        out["only_spark"] = list((sc - dc).elements())[:5]
+        out["only_oracle"] = list((dc - sc).elements())[:5]
+    return out
+
+
+def main(argv):
+    from tidemark import get_spark
+
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    import __spark_entry__ as entry
+
+    keys = argv[2:] or sorted(entry.queries())
+    spark = get_spark("local[8]", shuffle_partitions=8)
+    con = duck(sf_dir)
+    bad = 0
+    for k in keys:
+        try:
+            r = compare(spark, sf_dir, k, con)
+        except Exception as e:  # report and continue
+            r = {"key": k, "error": f"{type(e).__name__}: {str(e)[:300]}"}
+        ok = r.get("values_match", r.get("oracle") is None and "error" not in r)
+        bad += 0 if ok else 1
+        print(("OK  " if ok else "FAIL"), r, flush=True)
+    print(f"{len(keys) - bad}/{len(keys)} match")
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
