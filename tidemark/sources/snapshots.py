@@ -124,3 +124,10 @@ def dedup_snapshots(raw: DataFrame, key: str = "id", stamp: str = "ingested_at")
         F.col(stamp).desc_nulls_last(), F.col("url").asc_nulls_last(), F.col("stars").desc_nulls_last()
     )
     return raw.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1).drop("_rn")
+
+
+def read_snapshot_table(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Records written by ``sinks.write_snapshots`` (``snapshot_date=<day>``
+    directories of JSON lines); the date comes from partition discovery."""
+    df = spark.read.schema(SNAPSHOT_RECORD).json(base_dir)
+    return df.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))

@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The workload has no streaming semantics: no event-time windows, watermarks,
+state or late data.  Snapshots are collected on a schedule and a same-day
+rerun rewrites that day's snapshot file in place, which a streaming file
+source (new files only, keyed by path) would not pick up.  The right Spark
+shape is therefore the batch pipeline with incremental refresh by date
+(``tidemark.plans.pipeline.refresh``: dynamic partition overwrite of the
+affected ``snapshot_date`` partitions), not a streaming query.
+"""
