@@ -15,7 +15,8 @@ SHORT_NAME_WIDTH = 34
 
 # Leading / trailing Unicode space separators (category Zs: U+0020, U+00A0,
 # U+3000, ...).  Tab and newline are *not* Zs and are kept, as SQL trim does.
-_EDGE_SPACES = r"^\p{Zs}+|\p{Zs}+$"
+# Absolute anchors: Java's ``$`` would also match before a final newline.
+_EDGE_SPACES = r"\A\p{Zs}+|\p{Zs}+\z"
 
 
 def trim_unicode(c) -> Column:
