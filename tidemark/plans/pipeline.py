@@ -52,7 +52,7 @@ def build(
     p = _paths(out_dir)
     if not replace_table(raw, p["raw_repos"], mode=mode, skip_if_empty=True):
         return {}
-    raw_t = read_table(spark, p["raw_repos"])
+    raw_t = read_table(spark, p["raw_repos"], schema=raw.schema)
     raw_t.createOrReplaceTempView("raw_repos")
 
     if mode == "dynamic":

@@ -66,8 +66,12 @@ def write_snapshots_by_group(records: DataFrame, base_dir: str) -> bool:
     )
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """Read a written table.  With ``schema`` an empty table (no data files)
+    still reads, and columns come back in the schema's order."""
+    if schema is None:
+        return spark.read.format(fmt).load(path)
+    return spark.read.format(fmt).schema(schema).load(path).select(*schema.fieldNames())
 
 
 def table_exists(spark: SparkSession, path_or_name: str) -> bool:
@@ -93,7 +97,7 @@ def materialize(
     if kind != "table" or path is None:
         raise ValueError("kind must be 'view', or 'table' with a path")
     replace_table(df, path, **write_opts)
-    t = read_table(spark, path)
+    t = read_table(spark, path, schema=df.schema)
     t.createOrReplaceTempView(name)
     return t
 
