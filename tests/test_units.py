@@ -383,3 +383,42 @@ def test_read_only_sql_allows_queries(spark):
     assert [r["id"] for r in df.collect()] == [4, 3]
     df = explore(spark, "SELECT id FROM nums WHERE id > :lo", args={"lo": 2})
     assert sorted(r["id"] for r in df.collect()) == [3, 4]
+
+
+def test_per_group_snapshot_sink(spark, tmp_path):
+    from tidemark.sources.sinks import write_snapshots_by_group
+
+    recs = spark.createDataFrame(
+        [(1, "go", D(2024, 1, 2)), (2, "rust", D(2024, 1, 2))], "id bigint, language string, snapshot_date date"
+    )
+    out = tmp_path / "split"
+    assert write_snapshots_by_group(recs, str(out))
+    assert (out / "snapshot_date=2024-01-02" / "language=go").is_dir()
+    assert (out / "snapshot_date=2024-01-02" / "language=rust").is_dir()
+
+
+def test_default_explorer_sql_matches_dataframe_form(spark):
+    from tidemark.operators.explorer import DEFAULT_SQL, explore_default, register_views
+    from tidemark.plans.catalog import LANGUAGES, SNAPSHOT, Model
+
+    m = Model.parts(spark, "/root/testdata/sf0.001")
+    register_views(m.views())
+    by_sql = explore(spark, DEFAULT_SQL, args={"snapshot": D(1998, 6, 30), "languages": LANGUAGES})
+    by_df = explore_default(m.top, SNAPSHOT, LANGUAGES)
+    assert by_sql.collect() == by_df.collect()
+
+
+def test_load_counts_rows_while_writing(spark, tmp_path):
+    from tidemark.plans.pipeline import load_raw
+
+    base = tmp_path / "raw"
+    _write_snapshot(base, "2024-01-02", [_record(1), _record(2), _record(3)])
+    assert load_raw(spark, str(base), str(tmp_path / "wh")) == 3
+    assert load_raw(spark, str(tmp_path / "empty"), str(tmp_path / "wh")) is None
+    assert spark.read.parquet(str(tmp_path / "wh" / "raw_repos")).count() == 3
+
+
+def test_parse_list():
+    from tidemark.functions.text import parse_list
+
+    assert parse_list("python, go ,rust") == ["python", "go", "rust"]

@@ -42,3 +42,9 @@ def short_name(c, width: int = SHORT_NAME_WIDTH) -> Column:
 def title_case(c) -> Column:
     """Title case for display (word-initial capitals)."""
     return F.initcap(col(c))
+
+
+def parse_list(text: str, sep: str = ",") -> list[str]:
+    """A configured list such as ``"python, go,rust"`` -> ``['python', 'go', 'rust']``
+    (driver-side argument parsing, not a column expression)."""
+    return [x.strip() for x in text.split(sep)]

@@ -82,6 +82,23 @@ def build(
     }
 
 
+def load_raw(spark: SparkSession, base_dir: str, out_dir: str) -> int | None:
+    """Loader step alone: snapshot files -> raw table (full refresh).
+
+    Returns the number of rows loaded, counted while writing (an
+    ``Observation`` on the write, no second scan); ``None`` when there was
+    nothing to load and the existing table was kept.
+    """
+    from pyspark.sql import Observation
+
+    raw = read_snapshots(spark, base_dir)
+    if raw.isEmpty():
+        return None
+    obs = Observation("load")
+    replace_table(raw.observe(obs, F.count(F.lit(1)).alias("rows")), _paths(out_dir)["raw_repos"])
+    return int(obs.get["rows"])
+
+
 def run(spark: SparkSession, base_dir: str, out_dir: str, on_fail: str = "warn") -> dict[str, DataFrame]:
     """Full refresh from a directory of dated snapshot files."""
     return build(spark, read_snapshots(spark, base_dir), out_dir, on_fail=on_fail, mode="full")

@@ -22,12 +22,22 @@ _DATE_DIR = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
 def read_snapshot_records(spark: SparkSession, base_dir: str) -> DataFrame:
     """Every record of every ``<date>/snapshot.json`` under ``base_dir``, with
     ``snapshot_date`` from the directory name.  Declared schema: no inference
-    pass over the files."""
-    df = (
-        spark.read.schema(SNAPSHOT_RECORD)
-        .option("multiLine", True)
-        .json(f"{base_dir.rstrip('/')}/*/{SNAPSHOT_FILE}")
-    )
+    pass over the files.  No snapshot at all gives an empty DataFrame (the
+    loader then keeps the existing table)."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import types as T
+
+    try:
+        df = (
+            spark.read.schema(SNAPSHOT_RECORD)
+            .option("multiLine", True)
+            .json(f"{base_dir.rstrip('/')}/*/{SNAPSHOT_FILE}")
+        )
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        empty = T.StructType(SNAPSHOT_RECORD.fields + [T.StructField("snapshot_date", T.DateType())])
+        return spark.createDataFrame([], empty)
     path = F.col("_metadata.file_path")
     return df.withColumn("snapshot_date", F.to_date(F.regexp_extract(path, _DATE_DIR, 1)))
 
