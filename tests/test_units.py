@@ -422,3 +422,12 @@ def test_parse_list():
     from tidemark.functions.text import parse_list
 
     assert parse_list("python, go ,rust") == ["python", "go", "rust"]
+
+
+def test_breakout_methods_agree(spark):
+    from tidemark.plans.catalog import Model
+
+    m = Model.parts(spark, "/root/testdata/sf0.001")
+    w = bo.breakouts(m.top, method="window")
+    j = bo.breakouts(m.top, method="join")
+    assert sorted(map(repr, w.collect())) == sorted(map(repr, j.collect()))

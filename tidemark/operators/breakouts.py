@@ -54,17 +54,28 @@ def breakouts(
     min_stars: int = MIN_STARS,
     factor: int = VELOCITY_FACTOR,
     keys: Sequence[str] = GROUP_KEYS,
+    method: str = "window",
 ) -> DataFrame:
     """Breakout rows (10 columns, unordered; see ``order_breakouts``).
 
     Kept: stars >= ``min_stars`` and velocity > ``factor`` x median (strict).
     ``velocity_multiplier`` is NULL when the median is 0.
+
+    ``method='window'`` (default) computes the median over a window on the
+    ranking's partitioning: one Exchange for ranking + median.  ``'join'`` is
+    the literal form: aggregate the medians per group and inner-join them back
+    (Catalyst broadcasts the medians when AQE measures them under the
+    broadcast threshold; one row per group, so they stay small).
     """
     rv = repo_velocity(top)
-    for k in keys:
-        rv = rv.filter(F.col(k).isNotNull())
-    w = Window.partitionBy(*keys)
-    rv = rv.withColumn("median_velocity", median("stars_per_day", over=w))
+    if method == "window":
+        for k in keys:
+            rv = rv.filter(F.col(k).isNotNull())
+        rv = rv.withColumn("median_velocity", median("stars_per_day", over=Window.partitionBy(*keys)))
+    elif method == "join":
+        rv = rv.join(group_median(rv, keys), list(keys), "inner")
+    else:
+        raise ValueError("method must be 'window' or 'join'")
     threshold = F.col("median_velocity") * F.lit(factor).cast("float")
     hits = rv.filter((F.col("stars") >= min_stars) & (F.col("stars_per_day") > threshold))
     return hits.withColumn(
