@@ -67,20 +67,25 @@ def breakouts(
     (Catalyst broadcasts the medians when AQE measures them under the
     broadcast threshold; one row per group, so they stay small).
     """
-    rv = repo_velocity(top)
     if method == "window":
+        keyed = top
         for k in keys:
-            rv = rv.filter(F.col(k).isNotNull())
-        rv = rv.withColumn("median_velocity", median("stars_per_day", over=Window.partitionBy(*keys)))
+            keyed = keyed.filter(F.col(k).isNotNull())
+        rv = repo_velocity(keyed)
+        rv = rv.select("*", median("stars_per_day", over=Window.partitionBy(*keys)).alias("median_velocity"))
     elif method == "join":
+        rv = repo_velocity(top)
         rv = rv.join(group_median(rv, keys), list(keys), "inner")
     else:
         raise ValueError("method must be 'window' or 'join'")
     threshold = F.col("median_velocity") * F.lit(factor).cast("float")
     hits = rv.filter((F.col("stars") >= min_stars) & (F.col("stars_per_day") > threshold))
-    return hits.withColumn(
-        "velocity_multiplier", guarded_ratio("stars_per_day", "median_velocity")
-    ).select(*BREAKOUT_COLUMNS)
+    return hits.select(
+        *[
+            guarded_ratio("stars_per_day", "median_velocity").alias(c) if c == "velocity_multiplier" else c
+            for c in BREAKOUT_COLUMNS
+        ]
+    )
 
 
 def breakout_order():

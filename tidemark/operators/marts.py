@@ -12,9 +12,7 @@ GROUP_KEYS = ("snapshot_date", "language")
 
 def top_repos(stg: DataFrame, n: int = DEFAULT_TOP_N) -> DataFrame:
     """Top ``n`` entities per (snapshot, group) by stars, ties by id (13 columns)."""
-    return top_n_per_group(stg, keys=GROUP_KEYS, measure="stars", tie="repo_id", n=n).select(
-        *TOP_COLUMNS
-    )
+    return top_n_per_group(stg, keys=GROUP_KEYS, measure="stars", tie="repo_id", n=n).select(*TOP_COLUMNS)
 
 
 def ranked_repos(stg: DataFrame) -> DataFrame:

@@ -36,8 +36,7 @@ def rank_in_group(
     rank: str = DEFAULT_RANK_COL,
 ) -> DataFrame:
     """Add ``rank`` = position within the group by measure desc, tie asc (1-based, bigint)."""
-    ranked = df.withColumn(rank, F.row_number().over(_window(keys, measure, tie)))
-    return ranked.withColumn(rank, F.col(rank).cast("long"))
+    return df.select("*", F.row_number().over(_window(keys, measure, tie)).cast("long").alias(rank))
 
 
 def top_n_per_group(
@@ -49,7 +48,7 @@ def top_n_per_group(
     rank: str = DEFAULT_RANK_COL,
 ) -> DataFrame:
     """Keep the first ``n`` rows of each group (ranks 1..n) and add the rank."""
-    ranked = df.withColumn(rank, F.row_number().over(_window(keys, measure, tie)))
+    ranked = df.select("*", F.row_number().over(_window(keys, measure, tie)).alias(rank))
     return ranked.filter(F.col(rank) <= F.lit(n)).withColumn(rank, F.col(rank).cast("long"))
 
 

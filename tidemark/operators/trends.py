@@ -37,12 +37,14 @@ def growth(daily: DataFrame, key: str = "language", time: str = "snapshot_date")
     lags share one window spec, so they cost one sort.
     """
     w = Window.partitionBy(key).orderBy(F.col(time).asc_nulls_last())
-    return (
-        daily.withColumn("prev_total_stars", F.lag("total_stars").over(w))
-        .withColumn("prev_repo_count", F.lag("repo_count").over(w))
-        .withColumn("stars_delta", F.col("total_stars") - F.col("prev_total_stars"))
-        .withColumn("repo_count_delta", F.col("repo_count") - F.col("prev_repo_count"))
-        .withColumn("stars_growth_pct", growth_pct("total_stars", "prev_total_stars"))
+    prev_stars, prev_count = F.lag("total_stars").over(w), F.lag("repo_count").over(w)
+    return daily.select(
+        "*",
+        prev_stars.alias("prev_total_stars"),
+        prev_count.alias("prev_repo_count"),
+        (F.col("total_stars") - prev_stars).alias("stars_delta"),
+        (F.col("repo_count") - prev_count).alias("repo_count_delta"),
+        growth_pct(F.col("total_stars"), prev_stars).alias("stars_growth_pct"),
     )
 
 

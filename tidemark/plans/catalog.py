@@ -8,6 +8,7 @@ with them; selections use the fixed literals below.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,15 +48,31 @@ ORDER BY n_breakouts DESC, language
 
 
 class Model:
-    """The model chain over one binding, built lazily (DataFrames only)."""
+    """The model chain over one binding.  Each model is built on first use
+    only (building a DataFrame costs an analysis pass, even though nothing runs)."""
 
     def __init__(self, raw: DataFrame):
         self.raw = raw
-        self.stg = stage(raw)
-        self.top = top_repos(self.stg)
-        self.daily = language_daily(self.stg)
-        self.trends = language_trends(self.stg)
-        self.breakouts = bo.breakouts(self.top)
+
+    @cached_property
+    def stg(self) -> DataFrame:
+        return stage(self.raw)
+
+    @cached_property
+    def top(self) -> DataFrame:
+        return top_repos(self.stg)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return language_daily(self.stg)
+
+    @cached_property
+    def trends(self) -> DataFrame:
+        return language_trends(self.stg)
+
+    @cached_property
+    def breakouts(self) -> DataFrame:
+        return bo.breakouts(self.top)
 
     @classmethod
     def parts(cls, spark: SparkSession, sf_dir: str) -> "Model":
