@@ -1,9 +1,10 @@
 """Data-quality checks with test-runner semantics: a check *returns the failing
 rows*; it passes when there are none.
 
-``summary`` folds every check of a table into one aggregate (``count_if`` per
-column), so each table is scanned once, and the per-table results are stacked
-into rows ``(check_name, failing_rows, passed)``.
+``summary`` folds every check of a table (not-null columns, rank bounds,
+non-negative measure) into one aggregate (``count_if`` per check), so each
+table is scanned once, and the per-table results are stacked into rows
+``(check_name, failing_rows, passed)``.
 """
 
 from __future__ import annotations
@@ -36,18 +37,16 @@ def non_negative(df: DataFrame, c: str = "stars", keep: Sequence[str] = ("repo_i
     return df.filter(F.col(c) < 0).select(*keep)
 
 
-def _not_null_counts(table: str, df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    cols = list(cols)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    # stack() turns the one-row aggregate into one row per check.
-    pairs = ", ".join(f"'not_null:{table}.{c}', `{c}`" for c in cols)
-    return counts.selectExpr(f"stack({len(cols)}, {pairs}) AS (check_name, failing_rows)")
-
+def _table_checks(table: str, df: DataFrame, not_null_cols: Iterable[str], extra=None) -> DataFrame:
+    """All checks on one table in a single aggregate, stacked to one row per check.
 
-def _count_rows(name: str, failing: DataFrame) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-        F.lit(name).alias("check_name"), "failing_rows"
-    )
+    ``extra`` maps a check name to its *failing-row* condition."""
+    checks = [(f"not_null:{table}.{c}", F.col(c).isNull()) for c in not_null_cols]
+    checks += list((extra or {}).items())
+    counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
+    # stack() turns the one-row aggregate into one row per check.
+    pairs = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(checks))
+    return counts.selectExpr(f"stack({len(checks)}, {pairs}) AS (check_name, failing_rows)")
 
 
 def summary(
@@ -63,13 +62,16 @@ def summary(
     raises ``QualityError``; with ``'warn'`` it is returned lazily and the
     caller decides.
     """
+    rank = F.col("rank_in_language")
     parts = [
-        _not_null_counts("raw_repos", raw, ["id", "language", "stars"]),
-        _not_null_counts("stg_repos", stg, ["repo_id", "stars"]),
-        _not_null_counts("mart_top_repos", top, ["repo_id"]),
-        _not_null_counts("mart_language_trends", trends, ["language", "snapshot_date"]),
-        _count_rows("assert_rank_bounds", rank_bounds(top)),
-        _count_rows("assert_stars_non_negative", non_negative(stg)),
+        _table_checks("raw_repos", raw, ["id", "language", "stars"]),
+        _table_checks(
+            "stg_repos", stg, ["repo_id", "stars"], {"assert_stars_non_negative": F.col("stars") < 0}
+        ),
+        _table_checks(
+            "mart_top_repos", top, ["repo_id"], {"assert_rank_bounds": (rank < RANK_LO) | (rank > RANK_HI)}
+        ),
+        _table_checks("mart_language_trends", trends, ["language", "snapshot_date"]),
     ]
     out = parts[0]
     for p in parts[1:]:

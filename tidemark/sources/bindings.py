@@ -161,12 +161,19 @@ def split_snapshots(raw: DataFrame, split_date: str = SPLIT_DATE) -> tuple[DataF
 
 def with_reloaded_copies(raw: DataFrame, modulus: int = DEDUP_MODULUS) -> DataFrame:
     """Raw rows with an id, plus a later re-load (stars + 1, one hour newer) of
-    the rows whose id is a multiple of ``modulus``: input for de-duplication."""
+    the rows whose id is a multiple of ``modulus``: input for de-duplication.
+    One pass over ``raw`` (a generated copy index), not a self-union."""
     base = raw.filter(F.col("id").isNotNull())
-    again = base.filter(F.col("id") % modulus == 0).withColumns(
-        {
-            "stars": F.col("stars") + F.lit(1),
-            "ingested_at": F.col("ingested_at") + F.make_interval(hours=F.lit(1)),
-        }
+    copies = F.when(F.col("id") % modulus == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = base.select("*", F.explode(copies).alias("_copy"))
+    again = F.col("_copy") == 1
+    return rows.select(
+        *[
+            F.when(again, F.col("stars") + F.lit(1)).otherwise(F.col("stars")).alias(c)
+            if c == "stars"
+            else F.when(again, F.col(c) + F.make_interval(hours=F.lit(1))).otherwise(F.col(c)).alias(c)
+            if c == "ingested_at"
+            else F.col(c)
+            for c in RAW_COLUMNS
+        ]
     )
-    return base.unionByName(again).select(*RAW_COLUMNS)
