@@ -38,13 +38,16 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("HARNESS_EXACT") == "1"
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, bool):
