@@ -431,3 +431,12 @@ def test_breakout_methods_agree(spark):
     w = bo.breakouts(m.top, method="window")
     j = bo.breakouts(m.top, method="join")
     assert sorted(map(repr, w.collect())) == sorted(map(repr, j.collect()))
+
+
+def test_title_case_follows_python_rules(spark):
+    from tidemark.functions import title_case
+
+    words = ["python", "objective-c", "o'neil go-lang", "brand#1", "1st place", "ÉCOLE élan", "", "c++", "x"]
+    df = spark.createDataFrame([(w,) for w in words] + [(None,)], "w string")
+    got = [r["t"] for r in df.select(title_case("w").alias("t")).collect()]
+    assert got == [w.title() for w in words] + [None]

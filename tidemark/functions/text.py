@@ -39,9 +39,23 @@ def short_name(c, width: int = SHORT_NAME_WIDTH) -> Column:
     return F.substring(F.substring_index(col(c), "/", -1), 1, width)
 
 
+_CASED = r"^[\p{Lu}\p{Ll}\p{Lt}]$"
+
+
 def title_case(c) -> Column:
-    """Title case for display (word-initial capitals)."""
-    return F.initcap(col(c))
+    """Title case with Python ``str.title()`` rules: a cased letter is upper-cased
+    when the character before it is not a cased letter, lower-cased otherwise;
+    other characters are kept (``objective-c`` -> ``Objective-C``, ``o'neil`` ->
+    ``O'Neil``).  Spark's ``initcap`` only capitalises after whitespace.
+    Built from array functions over the characters (no UDF)."""
+    chars = F.split(col(c), "")
+    cased = lambda x: x.rlike(_CASED)
+
+    def fix(ch, i):
+        prev_cased = (i > 0) & cased(F.element_at(chars, i))  # element_at is 1-based: i -> previous char
+        return F.when(cased(ch), F.when(prev_cased, F.lower(ch)).otherwise(F.upper(ch))).otherwise(ch)
+
+    return F.when(col(c).isNull(), F.lit(None)).otherwise(F.array_join(F.transform(chars, fix), ""))
 
 
 def parse_list(text: str, sep: str = ",") -> list[str]:

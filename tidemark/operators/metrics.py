@@ -69,12 +69,18 @@ def kpi_summary(trends: DataFrame, snapshot, languages: Sequence[str]) -> DataFr
     """
     s = select_slice(trends, snapshot, languages)
     hottest = F.min_by("language", F.struct(-F.col("total_stars"), F.col("language")))
-    return s.agg(
+    kpis = s.agg(
         F.coalesce(F.sum("total_stars"), F.lit(0).cast("long")).alias("total_stars"),
         F.coalesce(F.sum("repo_count"), F.lit(0).cast("long")).alias("total_repos"),
-        F.coalesce(title_case(hottest), F.lit(EMPTY_LABEL)).alias("hottest_language"),
+        hottest.alias("hottest"),
         F.coalesce(round_half_even(F.avg("avg_engagement"), 1), F.lit(0.0)).alias("avg_engagement"),
     )
+    return kpis.select(
+        "total_stars",
+        "total_repos",
+        F.coalesce(title_case("hottest"), F.lit(EMPTY_LABEL)).alias("hottest_language"),
+        "avg_engagement",
+    )
 
 
 def snapshot_counts(raw: DataFrame) -> DataFrame:
