@@ -135,3 +135,28 @@ def test_dedup_keeps_one_row_per_key_and_day(spark):
         raw.select("id", "snapshot_date", F.col("stars").alias("s0")), ["id", "snapshot_date"]
     )
     assert kept.filter(F.col("stars") != F.col("s0") + 1).count() == 0
+
+
+def test_cli_run_report_sql(spark, tmp_path, capsys):
+    from tidemark.__main__ import main
+
+    base = tmp_path / "raw"
+    d = base / "2024-01-02"
+    d.mkdir(parents=True)
+    recs = [
+        {"id": i, "name": f"o/r{i}", "description": "", "language": "Go", "stars": s, "forks": 1,
+         "open_issues": 0, "watchers": 1, "license": None, "topics": [],
+         "created_at": "2024-01-01T00:00:00Z", "updated_at": "2024-01-01T00:00:00Z",
+         "pushed_at": "2024-01-01T00:00:00Z", "url": f"https://h/r{i}", "ingested_at": "2024-01-02T06:00:00"}
+        for i, s in enumerate([1, 1, 1, 1, 900], start=1)
+    ]
+    (d / "snapshot.json").write_text(json.dumps(recs))
+    wh = str(tmp_path / "wh")
+    assert main(["run", "--raw", str(base), "--out", wh]) == 0
+    assert main(["report", "--out", wh]) == 0
+    assert "r5" in capsys.readouterr().out
+    assert main(["sql", "--out", wh, "SELECT count(*) AS n FROM stg_repos"]) == 0
+    assert main(["sql", "--out", wh, "DROP TABLE breakout_repos"]) == 2
+    tables = pipeline.open_warehouse(spark, wh)
+    assert set(tables) >= {"raw_repos", "mart_top_repos", "mart_language_trends", "breakout_repos", "stg_repos"}
+    assert pipeline.open_warehouse(spark, str(tmp_path / "nothing")) == {}

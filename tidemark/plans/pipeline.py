@@ -111,3 +111,21 @@ def refresh(
     wanted = [F.to_date(F.lit(d)) for d in dates]
     raw = read_snapshots(spark, base_dir).filter(F.col("snapshot_date").isin(*wanted))
     return build(spark, raw, out_dir, on_fail=on_fail, mode="dynamic")
+
+
+def open_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """Read the written tables and register them (plus the staging and daily
+    views) for the explorer; what the dashboard loads.  Tables that do not exist
+    yet are skipped (the existence guard), so a fresh warehouse yields ``{}``."""
+    from tidemark.sources.sinks import table_exists
+
+    p = _paths(out_dir)
+    out: dict[str, DataFrame] = {}
+    for name, path in p.items():
+        if table_exists(spark, path):
+            out[name] = read_table(spark, path)
+            out[name].createOrReplaceTempView(name)
+    if "raw_repos" in out:
+        out["stg_repos"] = materialize(spark, stage(out["raw_repos"]), "stg_repos", "view")
+        out["int_language_daily"] = materialize(spark, language_daily(out["stg_repos"]), "int_language_daily", "view")
+    return out

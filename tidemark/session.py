@@ -28,11 +28,12 @@ def get_spark(
 ) -> SparkSession:
     """Build (or reuse) a session configured for the library.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master is set
-    by the launcher (spark-submit sets ``spark.master`` itself).
+    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only for a plain Python
+    process; under ``spark-submit`` (or ``pyspark``) the launcher's master is kept.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+    launched = os.environ.get("PYSPARK_GATEWAY_PORT") or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    if master is None and not launched:
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     if master:
         builder = builder.master(master)
