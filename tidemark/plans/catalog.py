@@ -93,12 +93,43 @@ class Model:
         }
 
 
+# Built model chains, reused across queries.  A DataFrame is an immutable,
+# lazy plan: reusing one re-runs the whole plan on every action (nothing is
+# cached), it only skips rebuilding the plan object in Python.  The key holds
+# the session and the input files' modification times, so new data or a new
+# session gets a fresh plan.
+_MODELS: dict[tuple, Model] = {}
+
+
+def _inputs_version(sf_dir: str, tables: tuple[str, ...]) -> tuple:
+    import os
+
+    out = []
+    for t in tables:
+        try:
+            out.append(os.path.getmtime(f"{sf_dir}/{t}.parquet"))
+        except OSError:
+            out.append(None)
+    return tuple(out)
+
+
+def _model(spark: SparkSession, sf_dir: str, binding: str) -> Model:
+    tables = ("lineitem", "part") if binding == "parts" else ("events",)
+    key = (id(spark._jsparkSession), sf_dir, binding, _inputs_version(sf_dir, tables))
+    m = _MODELS.get(key)
+    if m is None:
+        m = Model.parts(spark, sf_dir) if binding == "parts" else Model.users(spark, sf_dir)
+        _MODELS.clear() if len(_MODELS) > 16 else None
+        _MODELS[key] = m
+    return m
+
+
 def _a(spark, d) -> Model:
-    return Model.parts(spark, d)
+    return _model(spark, d, "parts")
 
 
 def _b(spark, d) -> Model:
-    return Model.users(spark, d)
+    return _model(spark, d, "users")
 
 
 # ---------------------------------------------------------------- scans / sources
@@ -127,12 +158,12 @@ def q_scan_top(spark, d):
 
 
 def q_union_snapshots(spark, d):
-    early, late = bindings.split_snapshots(bindings.parts_per_quarter(spark, d))
+    early, late = bindings.split_snapshots(_a(spark, d).raw)
     return union_snapshots(early, late)
 
 
 def q_dedup_snapshots(spark, d):
-    return dedup_snapshots(bindings.with_reloaded_copies(bindings.parts_per_quarter(spark, d)))
+    return dedup_snapshots(bindings.with_reloaded_copies(_a(spark, d).raw))
 
 
 # ---------------------------------------------------------------- staging expressions
