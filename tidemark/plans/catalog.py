@@ -119,7 +119,8 @@ def _model(spark: SparkSession, sf_dir: str, binding: str) -> Model:
     m = _MODELS.get(key)
     if m is None:
         m = Model.parts(spark, sf_dir) if binding == "parts" else Model.users(spark, sf_dir)
-        _MODELS.clear() if len(_MODELS) > 16 else None
+        if len(_MODELS) >= 16:  # bounded: drop old plans
+            _MODELS.clear()
         _MODELS[key] = m
     return m
 
