@@ -440,3 +440,12 @@ def test_title_case_follows_python_rules(spark):
     df = spark.createDataFrame([(w,) for w in words] + [(None,)], "w string")
     got = [r["t"] for r in df.select(title_case("w").alias("t")).collect()]
     assert got == [w.title() for w in words] + [None]
+
+
+def test_recommended_conf_scales_with_input():
+    from tidemark.session import recommended_conf
+
+    small = recommended_conf(10 << 20)
+    big = recommended_conf(100 * (1 << 40))
+    assert small["spark.sql.shuffle.partitions"] == "1"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)

@@ -67,3 +67,23 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str | Non
         sc.setCheckpointDir(default)
         return sc.getCheckpointDir() or default
     return None
+
+
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a given input size (bytes of Parquet scanned).
+
+    The first shuffle of the batch (the per-entity rollup of the input) carries
+    at most about the input's size, so start with one shuffle partition per
+    ``target_partition_bytes`` of input and let AQE coalesce the later, much
+    smaller shuffles (rankings and rollups are bounded by the number of groups).
+    Scan splits follow the same target.  Example: 100 TB -> ~410k initial
+    partitions of 256 MB.
+    """
+    n = max(1, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
