@@ -449,3 +449,44 @@ def test_recommended_conf_scales_with_input():
     big = recommended_conf(100 * (1 << 40))
     assert small["spark.sql.shuffle.partitions"] == "1"
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+
+
+def test_distributed_rank_equals_window_rank(spark):
+    from tidemark.operators.ranking import rank_in_group
+    from tidemark.plans.catalog import Model
+
+    stg = Model.parts(spark, "/root/testdata/sf0.001").stg
+    a = rank_in_group(stg, method="distributed").select("repo_id", "snapshot_date", "language", "rank_in_language")
+    b = rank_in_group(stg, method="window").select("repo_id", "snapshot_date", "language", "rank_in_language")
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_distributed_rank_splits_a_hot_group(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.ranking import rank_in_group
+
+    # one group holds two thirds of the rows, plus NULL keys and tied measures
+    n = 6000
+    df = spark.range(n).select(
+        F.col("id").alias("repo_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("cold")).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit("hot"))
+        .alias("language"),
+        F.lit(D(2024, 1, 1)).alias("snapshot_date"),
+        (F.col("id") % 50).cast("int").alias("stars"),
+    ).repartition(8)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    # at this tiny size AQE would coalesce the range partitions back into one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = rank_in_group(df, method="distributed")
+        parts = got.select(F.spark_partition_id().alias("p"), "language").groupBy("language").agg(
+            F.count_distinct("p").alias("np")
+        )
+        assert {r["language"]: r["np"] for r in parts.collect()}["hot"] > 1  # the hot group is split
+        want = rank_in_group(df, method="window")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
