@@ -46,7 +46,15 @@ def rank_in_group(
     partition, and shifted by the number of rows of the same group in earlier
     partitions, taken from a small (partition, group) count table.  The result
     equals ``row_number()``; ``method='window'`` is the plain window.
+
+    The positioned rows are materialised once (``checkpoint`` into the shared
+    ``spark.checkpoint.dir``): range bounds come from sampling, so two
+    computations could partition differently, and the counts must describe
+    exactly the rows they are joined back to.  This is the one operator with
+    an action inside (the eager checkpoint).
     """
+    from tidemark.session import materialize
+
     if method == "window":
         return df.select("*", F.row_number().over(_window(keys, measure, tie)).cast("long").alias(rank))
     if method != "distributed":
@@ -59,7 +67,7 @@ def rank_in_group(
     # Row index within the partition: the low 33 bits of monotonically_increasing_id,
     # assigned in the (sorted) order the task emits rows.
     index = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
-    pos = (
+    pos = materialize(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("*", part.alias("_part"), index.alias("_idx"))
