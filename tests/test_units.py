@@ -370,6 +370,8 @@ def test_table_exists_guard(spark, tmp_path):
         "drop table x",
         "select 1) as q; drop table x; select (1",
         "select 1; select 2",
+        "select reflect('java.lang.Thread', 'sleep', 1L)",
+        "select java_method('java.lang.System', 'getProperty', 'user.home')",
     ],
 )
 def test_read_only_sql_rejected(spark, sql):

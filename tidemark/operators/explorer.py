@@ -3,12 +3,14 @@
 Ad-hoc text is run as the body of a derived table,
 ``SELECT * FROM (<text>) AS q``.  Only a query can sit there: ``CREATE``,
 ``INSERT``, ``DROP``, several statements, or text that closes the
-parenthesis early are parse errors, so the explorer cannot write.  The text
+parenthesis early are parse errors, so the explorer cannot write; queries
+that call JVM methods (``reflect``, ``java_method``) are rejected after analysis.  The text
 is never spliced with values: selections go in as named parameters.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 
 DEFAULT_LIMIT = 50
 
+# Functions that run arbitrary JVM code from a SELECT; found in Spark's analyzed plan.
+_SIDE_EFFECTS = re.compile(r"\b(?:try_reflect|reflect|java_method)\(", re.IGNORECASE)
+
 
 class ReadOnlyViolation(ValueError):
     """The text is not a single read-only query."""
@@ -34,12 +39,15 @@ def explore(spark: SparkSession, sql: str, args: Mapping[str, object] | None = N
         body = body[:-1].rstrip()
     wrapped = f"SELECT * FROM (\n{body}\n) AS q"
     try:
-        return spark.sql(wrapped, args=dict(args) if args else None)
+        df = spark.sql(wrapped, args=dict(args) if args else None)
     except Exception as exc:  # parse / analysis errors
         name = type(exc).__name__
         if "Parse" in name or "PARSE" in str(exc)[:200]:
             raise ReadOnlyViolation(str(exc).splitlines()[0]) from exc
         raise
+    if _SIDE_EFFECTS.search(df._jdf.queryExecution().analyzed().toString()):
+        raise ReadOnlyViolation("calls to JVM methods (reflect / java_method) are not allowed")
+    return df
 
 
 def explore_default(top: DataFrame, snapshot, languages: Sequence[str], n: int = DEFAULT_LIMIT) -> DataFrame:
