@@ -1,7 +1,6 @@
 """Plan properties: the physical plans we want at scale."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
