@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.fixed import GROWTH_DIGITS, MULTIPLIER_DIGITS, VELOCITY_DIGITS
 from tidemark.functions._util import col
 
 _F32 = "float"
@@ -20,7 +21,7 @@ def _f32(x) -> Column:
     return F.lit(x).cast(_F32)
 
 
-def velocity(measure, age, digits: int = 2) -> Column:
+def velocity(measure, age, digits: int = VELOCITY_DIGITS) -> Column:
     """Measure per day of age: ``round(m::FLOAT / age, digits)`` when age > 0,
     else the measure itself as FLOAT (age 0, negative or NULL)."""
     m, a = col(measure), col(age)
@@ -41,7 +42,7 @@ def median(c, as_float: bool = True, over=None) -> Column:
     return m.cast(_F32) if as_float else m
 
 
-def guarded_ratio(num, den, digits: int = 1) -> Column:
+def guarded_ratio(num, den, digits: int = MULTIPLIER_DIGITS) -> Column:
     """``round(num / nullif(den, 0), digits)`` in 32-bit: a zero denominator gives NULL."""
     return F.round((col(num) / F.nullif(col(den), _f32(0))).cast(_F32), digits)
 
@@ -58,7 +59,7 @@ def round_like_sql(x, digits: int) -> Column:
     return F.round(col(x) * F.lit(scale), 0) / F.lit(scale)
 
 
-def growth_pct(current, previous, digits: int = 2) -> Column:
+def growth_pct(current, previous, digits: int = GROWTH_DIGITS) -> Column:
     """Percentage change ``100 * (cur - prev) / prev``; NULL when prev is 0 or NULL."""
     cur, prev = col(current), col(previous)
     return round_like_sql(F.lit(100.0) * (cur - prev) / F.nullif(prev, F.lit(0)), digits)

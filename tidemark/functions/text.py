@@ -7,11 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions._util import col
 
-# Fixed values (must equal the reference's semantics):
-#   licence sentinel meaning "no licence asserted": NOASSERTION
-#   short display name: last '/'-separated segment, first 34 characters
-NO_LICENSE_SENTINEL = "NOASSERTION"
-SHORT_NAME_WIDTH = 34
+from tidemark.fixed import DEFAULT_GROUPS, NO_LICENSE_SENTINEL, SHORT_NAME_WIDTH
 
 # Leading / trailing Unicode space separators (category Zs: U+0020, U+00A0,
 # U+3000, ...).  Tab and newline are *not* Zs and are kept, as SQL trim does.
@@ -58,7 +54,7 @@ def title_case(c) -> Column:
     return F.when(col(c).isNull(), F.lit(None)).otherwise(F.array_join(F.transform(chars, fix), ""))
 
 
-def parse_list(text: str, sep: str = ",") -> list[str]:
+def parse_list(text: str = DEFAULT_GROUPS, sep: str = ",") -> list[str]:
     """A configured list such as ``"python, go,rust"`` -> ``['python', 'go', 'rust']``
     (driver-side argument parsing, not a column expression)."""
     return [x.strip() for x in text.split(sep)]

@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import guarded_ratio, median, velocity
 from tidemark.schema import BREAKOUT_COLUMNS
 
-# Fixed values of the detector.
-MIN_STARS = 50          # absolute floor: stars >= 50
-VELOCITY_FACTOR = 3     # velocity must exceed 3 x the group median
+from tidemark.fixed import MIN_STARS, VELOCITY_FACTOR
+
 GROUP_KEYS = ("snapshot_date", "language")
 
 

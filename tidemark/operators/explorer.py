@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_LIMIT = 50
+from tidemark.fixed import EXPLORER_LIMIT as DEFAULT_LIMIT
 
 # Functions that run arbitrary JVM code from a SELECT; found in Spark's analyzed plan.
 _SIDE_EFFECTS = re.compile(r"\b(?:try_reflect|reflect|java_method)\(", re.IGNORECASE)
@@ -63,11 +63,11 @@ def explore_default(top: DataFrame, snapshot, languages: Sequence[str], n: int =
 
 
 # The default query as SQL text with bound parameters (what a user edits).
-DEFAULT_SQL = """
+DEFAULT_SQL = f"""
 SELECT language, repo_name, stars, forks, engagement_score, repo_age_days
 FROM mart_top_repos
 WHERE snapshot_date = :snapshot
   AND array_contains(:languages, language)
 ORDER BY stars DESC, repo_id
-LIMIT 50
+LIMIT {DEFAULT_LIMIT}
 """.strip()

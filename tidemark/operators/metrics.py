@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import short_name, title_case
 from tidemark.operators.breakouts import breakout_order
 
-# What an empty KPI slice shows.
-EMPTY_LABEL = "—"  # em dash
+from tidemark.fixed import CHART_TOP, EMPTY_LABEL, KPI_DIGITS, REPORT_TOP, TOP_FOR_GROUP
 
 
 def _date(d) -> "F.Column":
@@ -73,7 +72,7 @@ def kpi_summary(trends: DataFrame, snapshot, languages: Sequence[str]) -> DataFr
         F.coalesce(F.sum("total_stars"), F.lit(0).cast("long")).alias("total_stars"),
         F.coalesce(F.sum("repo_count"), F.lit(0).cast("long")).alias("total_repos"),
         hottest.alias("hottest"),
-        F.coalesce(round_half_even(F.avg("avg_engagement"), 1), F.lit(0.0)).alias("avg_engagement"),
+        F.coalesce(round_half_even(F.avg("avg_engagement"), KPI_DIGITS), F.lit(0.0)).alias("avg_engagement"),
     )
     return kpis.select(
         "total_stars",
@@ -116,7 +115,7 @@ def latest_snapshot(trends: DataFrame) -> DataFrame:
     return trends.agg(F.max("snapshot_date").alias("latest_snapshot"))
 
 
-def top_for_language(top: DataFrame, snapshot, language: str, n: int = 15) -> DataFrame:
+def top_for_language(top: DataFrame, snapshot, language: str, n: int = TOP_FOR_GROUP) -> DataFrame:
     """First ``n`` ranked rows of one group on one snapshot."""
     return (
         top.filter((F.col("language") == F.lit(language)) & (F.col("snapshot_date") == _date(snapshot)))
@@ -164,7 +163,7 @@ def breakouts_view(b: DataFrame) -> DataFrame:
     return b.orderBy(*breakout_order()).select(*BREAKOUT_VIEW_COLUMNS)
 
 
-def breakouts_chart(b: DataFrame, n: int = 15) -> DataFrame:
+def breakouts_chart(b: DataFrame, n: int = CHART_TOP) -> DataFrame:
     """Bar data: the ``n`` largest multipliers, re-sorted ascending."""
     head = b.orderBy(*breakout_order()).limit(n)
     return head.select("repo_name", "language", "velocity_multiplier", "url", "snapshot_date").orderBy(
@@ -187,7 +186,7 @@ def breakout_details(b: DataFrame) -> DataFrame:
     )
 
 
-def breakout_report(b: DataFrame, n: int = 10) -> DataFrame:
+def breakout_report(b: DataFrame, n: int = REPORT_TOP) -> DataFrame:
     """Console report rows: top ``n`` breakouts with short display names."""
     return (
         b.orderBy(*breakout_order())

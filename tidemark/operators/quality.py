@@ -14,8 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Valid rank range of the top-N mart.
-RANK_LO, RANK_HI = 1, 20
+from tidemark.fixed import RANK_HI, RANK_LO
 
 
 class QualityError(AssertionError):

@@ -18,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_TOP_N = 20
+from tidemark.fixed import TOP_N as DEFAULT_TOP_N
+from tidemark.fixed import TRENDING_DAYS_BACK, TRENDING_PER_PAGE
 DEFAULT_RANK_COL = "rank_in_language"
 
 
@@ -107,8 +108,8 @@ def top_n_per_group(
 def trending(
     catalogue: DataFrame,
     as_of: str,
-    days_back: int = 7,
-    n: int = 50,
+    days_back: int = TRENDING_DAYS_BACK,
+    n: int = TRENDING_PER_PAGE,
     languages: Sequence[str] | None = None,
     group: str = "language",
     measure: str = "stars",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import json_array_text, to_utc_naive
 from tidemark.schema import PAYLOAD, RAW_COLUMNS, SNAPSHOT_RECORD
 
-SNAPSHOT_FILE = "snapshot.json"
+from tidemark.fixed import SNAPSHOT_FILE
 _DATE_DIR = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
 
 
