@@ -115,10 +115,14 @@ def _inputs_version(sf_dir: str, tables: tuple[str, ...]) -> tuple:
 
 def _model(spark: SparkSession, sf_dir: str, binding: str) -> Model:
     tables = ("lineitem", "part") if binding == "parts" else ("events",)
-    key = (id(spark._jsparkSession), sf_dir, binding, _inputs_version(sf_dir, tables))
+    version = _inputs_version(sf_dir, tables)
+    build = Model.parts if binding == "parts" else Model.users
+    if None in version:  # not local files: no version to key on, always rebuild
+        return build(spark, sf_dir)
+    key = (id(spark._jsparkSession), sf_dir, binding, version)
     m = _MODELS.get(key)
     if m is None:
-        m = Model.parts(spark, sf_dir) if binding == "parts" else Model.users(spark, sf_dir)
+        m = build(spark, sf_dir)
         if len(_MODELS) >= 16:  # bounded: drop old plans
             _MODELS.clear()
         _MODELS[key] = m
