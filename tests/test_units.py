@@ -489,6 +489,11 @@ def test_distributed_rank_splits_a_hot_group(spark):
         assert {r["language"]: r["np"] for r in parts.collect()}["hot"] > 1  # the hot group is split
         want = rank_in_group(df, method="window")
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        # beyond the broadcast size check: shuffle join path
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = rank_in_group(df, method="distributed")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760b")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -82,8 +82,15 @@ def rank_in_group(
     before = F.sum("_n").over(
         Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = counts.select("_part", *keys, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    offsets = materialize(
+        counts.select("_part", *keys, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    )
+    # The offsets are broadcast only behind a measured size check (rows x row
+    # width against the session's broadcast threshold); beyond it the join is a
+    # shuffle join, balanced because ``_part`` splits hot groups.
     left, right = pos.alias("_l"), offsets.alias("_o")
+    if _fits_broadcast(offsets):
+        right = F.broadcast(offsets).alias("_o")
     cond = [F.col("_l._part") == F.col("_o._part")] + [
         F.col(f"_l.{k}").eqNullSafe(F.col(f"_o.{k}")) for k in keys
     ]
@@ -92,6 +99,24 @@ def rank_in_group(
     return ranked.select(*[F.col(f"_l.`{c}`") for c in df.columns], value.cast("long").alias(rank))
 
 
+_ROW_BYTES_GUESS = 64  # bytes per offsets row: partition id, group keys, two longs
+
+
+def _fits_broadcast(small: DataFrame) -> bool:
+    """True when the (materialised) table is under the session's broadcast
+    threshold, measured as its row count times a per-row width."""
+    import re
+
+    text = str(small.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text)
+    if not m:
+        return False
+    limit_bytes = int(m.group(1)) * 1024 ** "_kmgt".index(m.group(2) or "_")
+    if limit_bytes <= 0:
+        return False
+    return small.count() * _ROW_BYTES_GUESS <= limit_bytes
+
+
 def top_n_per_group(
     df: DataFrame,
     keys: Sequence[str] = ("snapshot_date", "language"),
