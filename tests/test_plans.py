@@ -64,3 +64,9 @@ def test_growth_lags_share_one_window(spark):
 
 def test_global_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in explain_string(Q["breakouts_top10"](spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("key", sorted(Q))
+def test_no_cross_join_in_any_plan(spark, key):
+    plan = explain_string(Q[key](spark, SF_SMALL))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -38,6 +38,12 @@ def trends_over_time(trends: DataFrame, languages: Sequence[str]) -> DataFrame:
     return select_languages(trends, languages).select("snapshot_date", "language", "total_stars")
 
 
+def trend_chart_available(trends: DataFrame) -> DataFrame:
+    """One row: whether there is history to draw (more than one snapshot);
+    with a single snapshot the dashboard shows the snapshot view only."""
+    return trends.agg((F.count_distinct("snapshot_date") > 1).alias("show_trend_chart"))
+
+
 def stars_by_language(slice_: DataFrame) -> DataFrame:
     """Bar-chart data, ascending by total."""
     return slice_.select("language", "total_stars").orderBy(

@@ -306,6 +306,10 @@ def q_top_for_language(spark, d):
     return _top15(spark, d)
 
 
+def q_trend_chart_available(spark, d):
+    return metrics.trend_chart_available(_a(spark, d).trends)
+
+
 def q_top_repos_chart(spark, d):
     return metrics.top_repos_chart(_top15(spark, d))
 

@@ -308,6 +308,9 @@ ORACLE: dict[str, str] = {
         f"SELECT snapshot_date, language, total_stars FROM mart_language_trends WHERE language IN ({_langs()})"
     ),
     "top_for_language": _a(_TOP15),
+    "trend_chart_available": _a(
+        "SELECT count(DISTINCT snapshot_date) > 1 AS show_trend_chart FROM mart_language_trends"
+    ),
     "top_repos_chart": _a(
         f"SELECT repo_name, CAST(sum(stars) AS BIGINT) AS stars FROM ({_TOP15}) t "
         "GROUP BY repo_name ORDER BY stars, repo_name"
