@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import TOP_N as DEFAULT_TOP_N
 from tidemark.fixed import TRENDING_DAYS_BACK, TRENDING_PER_PAGE
+
 DEFAULT_RANK_COL = "rank_in_language"
 
 
