@@ -108,3 +108,39 @@ def test_breakouts_on_zero_and_threshold_cases(spark, method):
     cols, orows = _oracle(raw_rows, "SELECT * FROM breakout_repos")
     assert _same(bo.breakouts(top, method=method), cols, orows)
     assert len(orows) == 2  # the 60 with zero median, and the 61 (> 3 x 20)
+
+
+kpi_row = st.tuples(
+    st.sampled_from(DATES),
+    st.sampled_from(["go", "rust", "objective-c", "c++", "python"]),
+    st.integers(0, 5),            # total_stars: small range -> many ties
+    st.integers(1, 9),            # repo_count
+    st.floats(0, 100, allow_nan=False).map(lambda x: round(x, 3)),  # avg_engagement
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(kpi_row, max_size=25, unique_by=lambda r: (r[0], r[1])),
+       langs=st.lists(st.sampled_from(["go", "rust", "objective-c", "c++", "python"]), min_size=1, unique=True))
+def test_kpis_match_dataframe_semantics(spark, rows, langs):
+    """The KPI row equals what the dashboard computes with pandas on the trends
+    mart sorted by (snapshot_date, language)."""
+    import pandas as pd
+
+    from tidemark.operators.metrics import kpi_summary
+
+    snap = DATES[1]
+    cols = ["snapshot_date", "language", "total_stars", "repo_count", "avg_engagement"]
+    trends = pd.DataFrame(rows, columns=cols).sort_values(["snapshot_date", "language"]).reset_index(drop=True)
+    f = trends[trends["language"].isin(langs) & (trends["snapshot_date"] == snap)]
+    want = (
+        int(f["total_stars"].sum()),
+        int(f["repo_count"].sum()),
+        f.loc[f["total_stars"].idxmax(), "language"].title() if not f.empty else "—",
+        float(round(f["avg_engagement"].mean(), 1)) if not f.empty else 0.0,
+    )
+    sdf = spark.createDataFrame(
+        rows, "snapshot_date date, language string, total_stars bigint, repo_count bigint, avg_engagement double"
+    )
+    got = tuple(kpi_summary(sdf, snap, langs).first())
+    assert got == want
