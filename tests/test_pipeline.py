@@ -157,6 +157,8 @@ def test_cli_run_report_sql(spark, tmp_path, capsys):
     assert "r5" in capsys.readouterr().out
     assert main(["sql", "--out", wh, "SELECT count(*) AS n FROM stg_repos"]) == 0
     assert main(["sql", "--out", wh, "DROP TABLE breakout_repos"]) == 2
+    assert main(["refresh", "--raw", str(base), "--out", wh, "--dates", "2024-01-02"]) == 0
+    assert spark.read.parquet(f"{wh}/raw_repos").count() == 5
     tables = pipeline.open_warehouse(spark, wh)
     assert set(tables) >= {"raw_repos", "mart_top_repos", "mart_language_trends", "breakout_repos", "stg_repos"}
     assert pipeline.open_warehouse(spark, str(tmp_path / "nothing")) == {}
