@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm import exact_dedup, warc
 from tidemark.llm.simhash import op1_simhash
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op10_warc": warc.op10_warc,
 }
 
 #: DuckDB SQL by query; the others are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_exact_dedup": exact_dedup.SQL, "op10_warc": warc.SQL}
