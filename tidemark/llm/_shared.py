@@ -60,3 +60,13 @@ def id_text(doc_id: Column) -> Column:
 def fold(doc_id: Column, of: int) -> Column:
     """crc32(id as text) mod ``of``: the fold that fixes held-out documents."""
     return F.crc32(id_text(doc_id)) % F.lit(of)
+
+
+def worker_cache(key, make):
+    """An object kept by a Python worker between its tasks (models, token caches)."""
+    import sys
+
+    store = sys.__dict__.setdefault("_tidemark_cache", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, warc
-from tidemark.llm.simhash import op1_simhash
+from tidemark.llm import decontaminate, exact_dedup, simhash, token_ids, warc
 
 QUERIES = {
-    "op1_simhash": op1_simhash,
+    "op1_simhash": simhash.op1_simhash,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_token_ids": token_ids.op4_token_ids,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op10_warc": warc.op10_warc,
 }
 
 #: DuckDB SQL by query; the others are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {"op3_exact_dedup": exact_dedup.SQL, "op10_warc": warc.SQL}
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": exact_dedup.SQL,
+    "op8_decontaminate": decontaminate.SQL,
+    "op10_warc": warc.SQL,
+}
