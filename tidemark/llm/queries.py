@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, simhash, token_ids, warc
+from tidemark.llm import decontaminate, exact_dedup, mixing, simhash, token_counts, token_ids, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_token_ids": token_ids.op4_token_ids,
+    "op6_mixing": mixing.op6_mixing,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op9_token_counts": token_counts.op9_token_counts,
     "op10_warc": warc.op10_warc,
 }
 
