@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, mixing, simhash, token_counts, token_ids, warc
+from tidemark.llm import decontaminate, exact_dedup, html_text, langid, lm, mixing, simhash, token_counts, token_ids, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_language_id": langid.op2_language_id,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_token_ids": token_ids.op4_token_ids,
+    "op5_lm_scoring": lm.op5_lm_scoring,
     "op6_mixing": mixing.op6_mixing,
+    "op7_html_text": html_text.op7_html_text,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_warc": warc.op10_warc,

@@ -39,18 +39,23 @@ class EliasFano:
         self.n, self.low_bits, self.low, self.high, self.rank = n, low_bits, low, high, rank
 
     @classmethod
-    def encode(cls, values: np.ndarray) -> EliasFano:
+    def encode(cls, values: np.ndarray, align: int = 1) -> EliasFano:
+        """``align`` 8 rounds the low bits up to whole bytes: faster, a little larger."""
         v = np.asarray(values, np.uint64)
         n = len(v)
         if not n:
             return cls(0, 0, b"", b"", np.zeros(0, np.uint32))
         bits = max(0, (int(v[-1]) // n).bit_length() - 1)
-        low = ((v[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+        bits = min(-(-bits // align) * align, 56)
+        if bits % 8:
+            low = np.packbits(((v[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+        else:
+            low = v.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :bits // 8]
         at = (v >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(-(-(int(at[-1]) + 1) // RANK) * RANK, np.uint8)
         high[at] = 1
         rank = np.cumsum(high.reshape(-1, RANK).sum(axis=1, dtype=np.int64)).astype(np.uint32)
-        return cls(n, bits, np.packbits(low.ravel(), bitorder="little").tobytes(), np.packbits(high, bitorder="little").tobytes(), rank)
+        return cls(n, bits, low.tobytes(), np.packbits(high, bitorder="little").tobytes(), rank)
 
     def select(self, i: np.ndarray) -> np.ndarray:
         """The entries at positions ``i``."""
@@ -65,12 +70,26 @@ class EliasFano:
             ones = np.flatnonzero(np.unpackbits(high[at * RANK // 8:(at + 1) * RANK // 8], bitorder="little"))
             before = int(self.rank[at - 1]) if at else 0
             out[mine] = (at * RANK + ones[i[mine] - before] - i[mine]).astype(np.uint64)
-        if self.low_bits:
+        if self.low_bits and self.low_bits % 8 == 0:
+            wide = np.zeros((len(i), 8), np.uint8)
+            wide[:, :self.low_bits // 8] = low.reshape(self.n, -1)[i]
+            out = (out << np.uint64(self.low_bits)) | wide.view("<u8")[:, 0]
+        elif self.low_bits:
             bit = i[:, None] * self.low_bits + np.arange(self.low_bits)
             part = ((low[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(np.uint64)
             out = (out << np.uint64(self.low_bits)) | (part << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
         return out
 
+    def decode(self) -> np.ndarray:
+        """All entries."""
+        at = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))
+        out = (at - np.arange(self.n)).astype(np.uint64)
+        if self.low_bits % 8:
+            return self.select(np.arange(self.n))
+        wide = np.zeros((self.n, 8), np.uint8)
+        wide[:, :self.low_bits // 8] = np.frombuffer(self.low, np.uint8).reshape(self.n, self.low_bits // 8)
+        return (out << np.uint64(self.low_bits)) | wide.view("<u8")[:, 0]
+
     def to_bytes(self) -> bytes:
         head = struct.pack("<QBQQI", self.n, self.low_bits, len(self.low), len(self.high), len(self.rank))
         return head + self.low + self.high + self.rank.astype("<u4").tobytes()
