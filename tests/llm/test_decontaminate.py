@@ -1,0 +1,77 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from tests.conftest import SF_SMALL
+from tests.llm.helpers import documents, rows, same, texts, widened
+from tests.oracle_harness import compare
+
+from tidemark.llm import decontaminate as dc
+
+
+def words(t):
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+
+
+def brute(data, items):
+    out = []
+    for r in data:
+        w, hit, found = words(r[1]), set(), set()
+        for item, t in items:
+            own = words(t)
+            m = min(13, len(own))
+            for q in range(len(own) - m + 1 if m else 0):
+                for p in range(len(w) - m + 1):
+                    if w[p:p + m] == own[q:q + m]:
+                        hit |= set(range(p, p + m))
+                        found.add("" if item is None else str(item))
+        names = ",".join(sorted(found))
+        out.append((r[0], len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
+def test_winnowing_guarantee():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        shared = rng.integers(0, 4, dc.WINDOW).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        around = lambda: rng.integers(0, 4, rng.integers(0, 30)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        a, b = (np.concatenate([around(), shared, around()]) for _ in range(2))
+        (_, x), (_, y) = dc.fingerprints(a, [])[0], dc.fingerprints(b, [])[0]
+        assert len(np.intersect1d(x, y))
+
+
+def test_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(dc, "CHUNK", 40)  # long texts in overlapping chunks
+    rng = random.Random(1)
+    bench = [(i, t) for i, t in enumerate(texts(12, 5, 13, 40))] + [(20, "er st"), (21, "The!"), (22, "..."), (23, None), (None, texts(1, 9, 20, 20)[0]), (7, texts(1, 10, 15, 15)[0])]
+    data = rows(40)
+    for i in range(30):
+        item = words(rng.choice(bench)[1])
+        at = rng.randint(0, max(0, len(item) - 5))
+        data.append((500 + i, texts(1, i, 0, 80)[0] + " " + " ".join(item[at:at + rng.randint(10, 20)]) + "; " + texts(1, i + 1, 0, 8)[0], "en", "s", 1))
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    got = dc.contamination(documents(spark, data), table)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(data, bench)
+    assert same(got, dc.contamination(widened(documents(spark, data)), widened(table)))
+
+
+def test_a_full_bitmap_loses_nothing(spark, monkeypatch):
+    docs, table = documents(spark), spark.createDataFrame([(1, texts(1, 0)[0])], "item_id long, text string")
+    want = dc.contamination(docs, table).collect()
+    monkeypatch.setattr(dc, "bitmap", lambda prints: np.full(1 << (dc.MAP_BITS - 3), 255, np.uint8))
+    assert sorted(map(str, want)) == sorted(map(str, dc.contamination(docs, table).collect()))
+
+
+def test_empty_tables(spark):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    got = dc.contamination(documents(spark), bench)
+    assert got.count() == len(rows()) and got.where("contaminated").count() == 0
+    assert dc.contamination(documents(spark, []), spark.createDataFrame([(1, "a b c")], "item_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("key", ["op3_exact_dedup", "op8_decontaminate", "op10_warc"])
+def test_oracle_sql(spark, duck_small, key):
+    r = compare(spark, SF_SMALL, key, duck_small)
+    assert r["values_match"], r

@@ -130,8 +130,10 @@ class TreeBuilder(HTMLParser):
             return
         elif tag == "table":
             self._end({"table"}, set())
-        else:
+        elif tag in BLOCKS:
             self._end({tag}, SCOPE - {tag})
+        else:  # inline elements do not close the blocks opened in them
+            self._end({tag}, BLOCKS)
 
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
@@ -377,6 +379,8 @@ def page_text(html: str | None) -> str:
         return ""
     builder = TreeBuilder()
     builder.feed(html)
+    if re.match("<[!?/a-zA-Z]", builder.rawdata):  # a comment or tag that never ends
+        builder.rawdata = ""
     builder.close()
     return "\n".join(render(builder.root))
 
