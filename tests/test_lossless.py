@@ -1,0 +1,214 @@
+"""Loads, refreshes and sinks never lose or invent rows."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from tidemark.operators import explorer
+from tidemark.operators.ranking import rank_in_group, top_n_per_group
+from tidemark.plans import pipeline
+from tidemark.plans.catalog import Model
+from tidemark.sources import bindings, sinks, snapshots
+
+
+def record(i, stars, day, **more):
+    return {"id": i, "name": f"o/r{i}", "description": "", "language": "Go", "stars": stars, "forks": 1, "open_issues": 0,
+            "watchers": 1, "license": None, "topics": [], "created_at": "2023-01-01T00:00:00Z",
+            "updated_at": "2024-01-01T00:00:00Z", "pushed_at": "2024-01-01T00:00:00Z", "url": f"https://h/r{i}",
+            "ingested_at": f"{day}T06:00:00"} | more
+
+
+def write_day(base, day, records):
+    d = base / day
+    d.mkdir(parents=True, exist_ok=True)
+    (d / "snapshot.json").write_text(records if isinstance(records, str) else json.dumps(records))
+
+
+def breakout_day(day, hit=9000):
+    return [record(i, s, day) for i, s in enumerate([10, 10, 10, 10, hit], start=1)]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("text", [
+    json.dumps([record(i, i, "2024-01-01") for i in range(5)])[:-200],
+    json.dumps([record(1, 3_000_000_000, "2024-01-01")]),
+    json.dumps([record(1, 1, "2024-01-01", created_at="not a time")]),
+])
+def test_a_damaged_file_stops_the_load_and_keeps_the_table(spark, tmp_path, text):
+    write_day(tmp_path / "raw", "2024-01-01", breakout_day("2024-01-01"))
+    wh = str(tmp_path / "wh")
+    before = rows(pipeline.run(spark, str(tmp_path / "raw"), wh)["raw_repos"])
+    write_day(tmp_path / "raw", "2024-01-02", text)
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|Malformed|CANNOT_PARSE"):
+        pipeline.run(spark, str(tmp_path / "raw"), wh)
+    assert rows(pipeline.open_warehouse(spark, wh)["raw_repos"]) == before
+
+
+def test_missing_and_empty_folders(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        pipeline.run(spark, str(tmp_path / "nowhere"), str(tmp_path / "wh"))
+    (tmp_path / "raw").mkdir()
+    assert pipeline.run(spark, str(tmp_path / "raw"), str(tmp_path / "wh")) == {}
+    write_day(tmp_path / "raw", "not-a-date", [record(1, 1, "2024-01-01")])
+    with pytest.raises(Exception, match="not a date folder"):
+        pipeline.run(spark, str(tmp_path / "raw"), str(tmp_path / "wh"))
+
+
+@pytest.mark.parametrize("second", [
+    [record(i, 10, "2024-01-02") for i in range(1, 6)],           # no breakout any more
+    [record(i, -1, "2024-01-02") for i in range(1, 6)],           # no valid row any more
+    [record(None, 10, "2024-01-02"), record(1, 10, "2024-01-02")],
+])
+def test_refresh_equals_a_full_rebuild(spark, tmp_path, second):
+    raw, wh = tmp_path / "raw", str(tmp_path / "wh")
+    for day in ("2024-01-01", "2024-01-02"):
+        write_day(raw, day, breakout_day(day))
+    first = pipeline.run(spark, str(raw), wh)
+    assert first["breakout_repos"].count() == 2 and first["row_count"].first()[0] == 10
+    write_day(raw, "2024-01-02", second)
+    inc = pipeline.refresh(spark, str(raw), wh, ["2024-01-02"])
+    full = pipeline.run(spark, str(raw), str(tmp_path / "full"))
+    for t in pipeline.TABLES:
+        assert rows(inc[t].select(*full[t].columns)) == rows(full[t]), t
+
+
+def test_no_breakouts_at_all_opens_and_reports(spark, tmp_path, capsys):
+    from tidemark.__main__ import main
+
+    write_day(tmp_path / "raw", "2024-01-01", [record(i, 1, "2024-01-01") for i in range(60)])
+    wh = str(tmp_path / "wh")
+    assert main(["run", "--raw", str(tmp_path / "raw"), "--out", wh]) == 0
+    assert "rows loaded: 60" in capsys.readouterr().out
+    tables = pipeline.open_warehouse(spark, wh)
+    assert tables["breakout_repos"].count() == 0
+    assert tables["breakout_repos"].columns == Model(tables["raw_repos"]).breakouts.columns
+    assert main(["report", "--out", wh]) == 0
+    assert main(["sql", "--out", wh, "SELECT id FROM raw_repos"]) == 0
+    out = capsys.readouterr().out
+    assert "60 rows\n" in out and out.count("|") > 120
+    assert main(["sql", "--out", wh, "--limit", "3", "SELECT id FROM raw_repos"]) == 0
+    assert "60 rows, 57 not shown" in capsys.readouterr().out
+
+
+def test_null_ids_survive_dedup(spark):
+    raw = bindings.parts_per_quarter(spark, SF_SMALL, wide=True)
+    twice = bindings.with_reloaded_copies(raw)
+    nulls = raw.filter("id IS NULL").count()
+    assert nulls > 28 and snapshots.dedup_snapshots(twice).filter("id IS NULL").count() == nulls
+
+
+def test_both_forms_of_the_binding_agree(spark):
+    slim, wide = (bindings.parts_per_quarter(spark, SF_SMALL, wide=w) for w in (False, True))
+    assert slim.columns == wide.columns and rows(slim) == rows(wide)
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_the_sinks_output_is_a_pipeline_input(spark, tmp_path, fmt):
+    for day in ("2024-01-01", "2024-01-02"):
+        write_day(tmp_path / "raw", day, breakout_day(day))
+    recs = snapshots.read_snapshot_records(spark, str(tmp_path / "raw"))
+    if fmt == "json":
+        assert sinks.write_snapshots(recs, str(tmp_path / "again"))
+    else:
+        recs.write.partitionBy("snapshot_date").parquet(str(tmp_path / "again"))
+    a = pipeline.run(spark, str(tmp_path / "raw"), str(tmp_path / "a"))
+    b = pipeline.run(spark, str(tmp_path / "again"), str(tmp_path / "b"))
+    assert rows(a["raw_repos"]) == rows(b["raw_repos"]) and rows(a["breakout_repos"]) == rows(b["breakout_repos"])
+
+
+def test_files_follow_dates_not_tasks(spark, tmp_path):
+    raw = bindings.parts_per_quarter(spark, SF_SMALL, wide=True).repartition(16)
+    sinks.replace_table(raw, str(tmp_path / "t"))
+    days = raw.select("snapshot_date").distinct().count()
+    files = len(list((tmp_path / "t").glob("*/part-*")))
+    assert days <= files <= 2 * days
+
+
+def test_marts_are_written_in_their_order(spark, tmp_path):
+    out = pipeline.build(spark, bindings.parts_per_quarter(spark, SF_SMALL), str(tmp_path / "wh"))
+    got = [(r.snapshot_date, r.total_stars) for r in spark.read.parquet(str(tmp_path / "wh/mart_language_trends")).coalesce(1).collect()]
+    assert got == sorted(got, reverse=True) and out["mart_language_trends"].count() == len(got)
+    day = next((tmp_path / "wh/mart_top_repos").glob("snapshot_date=1998-06-30"))
+    ranks = [(r.language, r.rank_in_language) for r in spark.read.parquet(str(day)).collect()]
+    assert ranks == sorted(ranks)
+
+
+def test_stored_search_responses(spark, tmp_path):
+    item = {"id": 1, "full_name": "o/r", "stargazers_count": 5, "license": {"spdx_id": "MIT"}, "created_at": "2024-01-01T00:00:00Z"}
+    (tmp_path / "a.json").write_text(json.dumps({"total_count": 2, "items": [item, item | {"id": 2, "license": None}]}))
+    (tmp_path / "b.json").write_text(json.dumps([item | {"id": 3}]))
+    (tmp_path / "c.json").write_text(json.dumps({"total_count": 0}))
+    got = snapshots.flatten_payload(snapshots.read_payload(spark, str(tmp_path)), "go", "2024-01-02T00:00:00")
+    assert sorted((r["id"], r["license"]) for r in got.collect()) == [(1, "MIT"), (2, None), (3, "MIT")]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kathmandu"])
+def test_times_do_not_depend_on_the_session_zone(spark, tmp_path, zone):
+    times = ["2023-11-05T05:30:00Z", "2023-11-05T06:30:00Z", "2024-01-01T10:00:00", "2024-01-01T10:00:00.123456+02:00", "1969-12-31T23:59:59.5Z"]
+    write_day(tmp_path / "raw", "2024-01-02", [record(i, 1, "2024-01-02", created_at=t) for i, t in enumerate(times)])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {r["id"]: r["created_at"] for r in snapshots.read_snapshots(spark, str(tmp_path / "raw")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [got[i] for i in range(5)] == [
+        dt.datetime(2023, 11, 5, 5, 30), dt.datetime(2023, 11, 5, 6, 30), dt.datetime(2024, 1, 1, 10),
+        dt.datetime(2024, 1, 1, 8, 0, 0, 123456), dt.datetime(1969, 12, 31, 23, 59, 59, 500000),
+    ]
+
+
+# ---------------------------------------------------------------- ranking
+def test_ranking_runs_no_job_before_the_action(spark):
+    df = spark.range(100).select(F.col("id").alias("repo_id"), F.lit("g").alias("language"), F.lit(1).alias("snapshot_date"), F.lit(1).alias("stars"))
+    group = "ranking-plan"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        ranked = rank_in_group(df)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
+        assert ranked.count() == 100
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("kind", ["int", "double"])
+def test_ranks_of_one_hot_group_with_odd_measures(spark, kind):
+    data = [(i, (None, 0, 1, -3, 20, 21, 22, 1000, 1001, 2**31 - 1, -(2**31))[i % 11] if i % 4 else 0) for i in range(3000)]
+    data += [(i + 2**40, 0) for i in range(50)] + [(-i - 1, 0) for i in range(50)] + [(None, 0)]
+    df = spark.createDataFrame(data, "repo_id long, stars int").withColumn("stars", F.col("stars").cast(kind))
+    df = df.withColumn("language", F.lit("hot")).withColumn("snapshot_date", F.lit(None).cast("date"))
+    got, want = rank_in_group(df), rank_in_group(df, method="window")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and got.count() == len(data)
+
+
+def test_top_n_beyond_the_group_limit(spark):
+    df = spark.range(5000).select(F.col("id").alias("repo_id"), F.lit("g").alias("language"), F.lit(1).alias("snapshot_date"), (F.col("id") % 700).cast("int").alias("stars"))
+    big = top_n_per_group(df, n=1500)
+    want = rank_in_group(df, method="window").filter("rank_in_language <= 1500")
+    assert big.exceptAll(want).count() == 0 and big.count() == 1500
+
+
+# ---------------------------------------------------------------- explorer
+def test_jvm_calls_are_found_wherever_they_stand(spark):
+    call = "reflect('java.lang.System', 'getProperty', 'java.version')"
+    wide = ", ".join(f"{i} AS c{i}" for i in range(40))
+    for sql in (f"SELECT {wide}, {call}", f"SELECT (SELECT {call})", f"WITH a AS (SELECT {call} x) SELECT count(*) FROM a",
+                f"SELECT 1 WHERE EXISTS (SELECT 1 WHERE {call} = '')", "SELECT try_reflect('java.lang.System', 'lineSeparator')"):
+        with pytest.raises(explorer.ReadOnlyViolation):
+            explorer.explore(spark, sql)
+    df, n = explorer.explore_counted(spark, "SELECT 'call reflect(x)' AS said, '{\"class\":\"a.TryReflect\"}' AS json")
+    assert n == 1 and df.first()["said"] == "call reflect(x)"
+
+
+def test_exploring_leaves_no_views_behind(spark):
+    from tidemark.plans.catalog import QUERIES
+
+    spark.catalog.dropTempView("breakout_repos")
+    QUERIES["explorer_adhoc"](spark, SF_SMALL).collect()
+    assert not any(t.name == "breakout_repos" for t in spark.catalog.listTables())

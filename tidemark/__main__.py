@@ -30,7 +30,7 @@ def main(argv=None) -> int:
     q = sub.add_parser("sql", help="read-only SQL over the warehouse tables")
     q.add_argument("--out", required=True)
     q.add_argument("query")
-    q.add_argument("--limit", type=int, default=50)
+    q.add_argument("--limit", type=int, default=None, help="print only so many rows (the count is always given)")
     args = ap.parse_args(argv)
 
     from tidemark import get_spark
@@ -45,6 +45,8 @@ def main(argv=None) -> int:
         if not out:
             print("No raw data found; existing tables kept.")
             return 0
+        if "row_count" in out:
+            print(f"rows loaded: {out['row_count'].first()[0]}")
         out["quality"].show(truncate=False)
         print(f"breakouts: {out['breakout_repos'].count()}")
         return 0
@@ -57,14 +59,16 @@ def main(argv=None) -> int:
 
         breakout_report(tables["breakout_repos"], args.n).show(args.n, truncate=False)
         return 0
-    from tidemark.operators.explorer import ReadOnlyViolation, explore
+    from tidemark.operators.explorer import ReadOnlyViolation, explore_counted
 
     try:
-        df = explore(spark, args.query)
+        df, rows = explore_counted(spark, args.query)
     except ReadOnlyViolation as e:
         print(f"Query rejected: {e}")
         return 2
-    df.show(args.limit, truncate=False)
+    shown = rows if args.limit is None else min(rows, args.limit)
+    df.show(shown, truncate=False)
+    print(f"{rows} rows" + (f", {rows - shown} not shown" if shown < rows else ""))
     return 0
 
 

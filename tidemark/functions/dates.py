@@ -22,7 +22,8 @@ def calendar_day_age(start_ts, end_date) -> Column:
 def to_utc_naive(ts) -> Column:
     """Instant (``timestamp``) -> naive UTC wall-clock time (``timestamp_ntz``).
 
-    ``cast(timestamp_ntz)`` renders in the session time zone; converting from
-    the session zone to UTC makes the result independent of it.
+    Built from the instant's microseconds since the epoch, so neither the session
+    zone nor its daylight-saving changes play a part.
     """
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col(ts).cast("timestamp_ntz"))
+    seconds = (F.unix_micros(col(ts)) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)

@@ -10,7 +10,7 @@ is never spliced with values: selections go in as named parameters.
 
 from __future__ import annotations
 
-import re
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import EXPLORER_LIMIT as DEFAULT_LIMIT
 
-# Functions that run arbitrary JVM code from a SELECT; found in Spark's analyzed plan.
-_SIDE_EFFECTS = re.compile(r"\b(?:try_reflect|reflect|java_method)\(", re.IGNORECASE)
+# Catalyst's classes of the functions that call JVM methods.
+_CALLS = {"CallMethodViaReflection", "TryReflect"}
 
 
 class ReadOnlyViolation(ValueError):
@@ -45,11 +45,42 @@ def explore(spark: SparkSession, sql: str, args: Mapping[str, object] | None = N
         if "Parse" in name or "PARSE" in str(exc)[:200]:
             raise ReadOnlyViolation(str(exc).splitlines()[0]) from exc
         raise
-    if _SIDE_EFFECTS.search(df._jdf.queryExecution().analyzed().toString()):
+    if _calls_jvm(df._jdf.queryExecution().analyzed()):
         raise ReadOnlyViolation("calls to JVM methods (reflect / java_method) are not allowed")
     return df
 
 
+def _calls_jvm(plan) -> bool:
+    """Whether an analysed plan holds a JVM call.  The tree is read by its classes, with
+    subqueries and whole expression lists; printed forms and string literals play no part."""
+    todo = [json.loads(plan.toJSON())]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, dict):
+            if str(node.get("class", "")).rpartition(".")[2] in _CALLS:
+                return True
+            todo += node.values()
+        elif isinstance(node, list):
+            todo += node
+    return False
+
+
+def explore_counted(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None) -> tuple[DataFrame, int]:
+    """The result of user SQL and its number of rows."""
+    df = explore(spark, sql, args)
+    return df, df.count()
+
+
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster with its own temp views and the same settings, so
+    that views registered for one exploration never meet another's."""
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    return child
+
+
 def explore_default(top: DataFrame, snapshot, languages: Sequence[str], n: int = DEFAULT_LIMIT) -> DataFrame:
     """The explorer's default query: one snapshot, chosen groups, by stars
     (ties by id), first ``n`` rows."""
@@ -60,14 +91,3 @@ def explore_default(top: DataFrame, snapshot, languages: Sequence[str], n: int =
         .limit(n)
         .select("language", "repo_name", "stars", "forks", "engagement_score", "repo_age_days")
     )
-
-
-# The default query as SQL text with bound parameters (what a user edits).
-DEFAULT_SQL = f"""
-SELECT language, repo_name, stars, forks, engagement_score, repo_age_days
-FROM mart_top_repos
-WHERE snapshot_date = :snapshot
-  AND array_contains(:languages, language)
-ORDER BY stars DESC, repo_id
-LIMIT {DEFAULT_LIMIT}
-""".strip()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.fixed import CHART_TOP, EMPTY_LABEL, KPI_DIGITS, REPORT_TOP, TOP_FOR_GROUP
 from tidemark.functions import short_name, title_case
 from tidemark.operators.breakouts import breakout_order
+from tidemark.operators.staging import is_valid
 
 
 def _date(d) -> "F.Column":
@@ -92,18 +93,19 @@ def snapshot_counts(raw: DataFrame) -> DataFrame:
     return raw.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("repo_count"))
 
 
-def pipeline_stats(raw: DataFrame, trends: DataFrame) -> DataFrame:
-    """One row: rows ingested (sum of per-snapshot counts), snapshots and groups
-    available in the trends mart.  The raw count is a scalar subquery, so the
-    two aggregates run independently and nothing is cross-joined."""
-    ingested = snapshot_counts(raw).agg(F.sum("repo_count").alias("n")).scalar()
-    return trends.agg(
-        F.count_distinct("snapshot_date").alias("snapshots_available"),
-        F.count_distinct("language").alias("languages_tracked"),
-    ).select(
-        F.coalesce(ingested, F.lit(0).cast("long")).alias("total_ingested"),
-        "snapshots_available",
-        "languages_tracked",
+def pipeline_stats(raw: DataFrame) -> DataFrame:
+    """One row: rows ingested, and the snapshots and groups that have a trends row.
+
+    One rollup of the raw table by snapshot and group counts all rows and the valid
+    ones; the trends mart has exactly the groups with a valid row."""
+    rollup = raw.groupBy("snapshot_date", F.lower("language").alias("language")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(is_valid()).alias("valid")
+    )
+    staged = F.col("valid") > 0
+    return rollup.agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_ingested"),
+        F.count_distinct(F.when(staged, F.col("snapshot_date"))).alias("snapshots_available"),
+        F.count_distinct(F.when(staged, F.col("language"))).alias("languages_tracked"),
     )
 
 

@@ -1,20 +1,20 @@
 """Data-quality checks with test-runner semantics: a check *returns the failing
 rows*; it passes when there are none.
 
-``summary`` folds every check of a table (not-null columns, rank bounds,
-non-negative measure) into one aggregate (``count_if`` per check), so each
-table is scanned once, and the per-table results are stacked into rows
+``summary`` folds the checks of a table (and those of staging into its raw table's)
+into one aggregate (``count_if`` per check) and stacks the results into rows
 ``(check_name, failing_rows, passed)``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.fixed import RANK_HI, RANK_LO
+from tidemark.operators.staging import is_valid
 
 
 class QualityError(AssertionError):
@@ -36,41 +36,32 @@ def non_negative(df: DataFrame, c: str = "stars", keep: Sequence[str] = ("repo_i
     return df.filter(F.col(c) < 0).select(*keep)
 
 
-def _table_checks(table: str, df: DataFrame, not_null_cols: Iterable[str], extra=None) -> DataFrame:
-    """All checks on one table in a single aggregate, stacked to one row per check.
-
-    ``extra`` maps a check name to its *failing-row* condition."""
-    checks = [(f"not_null:{table}.{c}", F.col(c).isNull()) for c in not_null_cols]
-    checks += list((extra or {}).items())
-    counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
+def _table_checks(df: DataFrame, checks: dict) -> DataFrame:
+    """Checks by name (their failing-row conditions) in one aggregate, a row each."""
+    counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(checks.values())])
     # stack() turns the one-row aggregate into one row per check.
-    pairs = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(checks))
+    pairs = ", ".join(f"'{name}', c{i}" for i, name in enumerate(checks))
     return counts.selectExpr(f"stack({len(checks)}, {pairs}) AS (check_name, failing_rows)")
 
 
-def summary(
-    raw: DataFrame,
-    stg: DataFrame,
-    top: DataFrame,
-    trends: DataFrame,
-    on_fail: str = "warn",
-) -> DataFrame:
+def summary(raw: DataFrame, top: DataFrame, trends: DataFrame, on_fail: str = "warn") -> DataFrame:
     """All checks of the models as one small DataFrame.
 
-    With ``on_fail='raise'`` the (tiny) summary is collected and a failure
-    raises ``QualityError``; with ``'warn'`` it is returned lazily and the
-    caller decides.
+    Staged rows are the valid raw rows, one for one, so the raw and the staged checks
+    share one aggregate over ``raw``.  With ``on_fail='raise'`` the (tiny) summary is
+    collected and a failure raises ``QualityError``; with ``'warn'`` it is returned
+    lazily and the caller decides.
     """
-    rank = F.col("rank_in_language")
+    rank, staged = F.col("rank_in_language"), is_valid()
+    missing = lambda c: F.col(c).isNull()
     parts = [
-        _table_checks("raw_repos", raw, ["id", "language", "stars"]),
-        _table_checks(
-            "stg_repos", stg, ["repo_id", "stars"], {"assert_stars_non_negative": F.col("stars") < 0}
-        ),
-        _table_checks(
-            "mart_top_repos", top, ["repo_id"], {"assert_rank_bounds": (rank < RANK_LO) | (rank > RANK_HI)}
-        ),
-        _table_checks("mart_language_trends", trends, ["language", "snapshot_date"]),
+        _table_checks(raw, {f"not_null:raw_repos.{c}": missing(c) for c in ("id", "language", "stars")} | {
+            "not_null:stg_repos.repo_id": staged & missing("id"),
+            "not_null:stg_repos.stars": staged & missing("stars"),
+            "assert_stars_non_negative": staged & (F.col("stars") < 0),
+        }),
+        _table_checks(top, {"not_null:mart_top_repos.repo_id": missing("repo_id"), "assert_rank_bounds": (rank < RANK_LO) | (rank > RANK_HI)}),
+        _table_checks(trends, {f"not_null:mart_language_trends.{c}": missing(c) for c in ("language", "snapshot_date")}),
     ]
     out = parts[0]
     for p in parts[1:]:

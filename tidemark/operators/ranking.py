@@ -30,6 +30,14 @@ def _window(keys: Sequence[str], measure: str, tie: str):
     )
 
 
+def _octave(measure: str):
+    """An integer that never falls as the measure rises: sixteen steps per power of two,
+    signed, so integers up to 20 have a step of their own; NULL stays NULL."""
+    m = F.col(measure).cast("double")
+    step = F.floor(F.log2(F.abs(m) + F.lit(1.0)) * F.lit(16.0)).cast("int") + F.lit(1)
+    return F.when(m >= 0, step).when(m < 0, -step)
+
+
 def rank_in_group(
     df: DataFrame,
     keys: Sequence[str] = ("snapshot_date", "language"),
@@ -40,82 +48,37 @@ def rank_in_group(
 ) -> DataFrame:
     """Add ``rank`` = position within the group by measure desc, tie asc (1-based, bigint).
 
-    Every row is ranked (no cut), so a window partitioned by the group would
-    put a whole group in one task: a group holding a third of the rows would be
-    a third of the job in one task.  ``method='distributed'`` (default) avoids
-    that: rows are range-partitioned on the full sort order (Spark samples the
-    keys, so a hot group is split over many partitions), numbered within each
-    partition, and shifted by the number of rows of the same group in earlier
-    partitions, taken from a small (partition, group) count table.  The result
-    equals ``row_number()``; ``method='window'`` is the plain window.
-
-    The positioned rows are materialised once (``checkpoint`` into the shared
-    ``spark.checkpoint.dir``): range bounds come from sampling, so two
-    computations could partition differently, and the counts must describe
-    exactly the rows they are joined back to.  This is the one operator with
-    an action inside (the eager checkpoint).
+    Every row is ranked (no cut), so a window partitioned by the group would put a
+    whole group in one task.  ``method='distributed'`` (default) cuts each group into
+    slices by fixed functions of the row alone: sixteen steps of the measure per power
+    of two and, within a step, 2**20 neighbouring values of an integral ``tie``.  Rows
+    are numbered within their slice and shifted by the rows of the slices before it,
+    from a table of slice counts (partial aggregation, one row per slice).  The
+    result equals ``row_number()``; ``method='window'`` is the plain window.
+
+    The tie only cuts steps of a single value; a step of several values is one slice.
+    Lazy and free of sampling: both branches compute the same slices whenever they run,
+    unneeded columns are pruned, and AQE picks the join from measured sizes.
     """
-    from tidemark.session import materialize
-
     if method == "window":
         return df.select("*", F.row_number().over(_window(keys, measure, tie)).cast("long").alias(rank))
     if method != "distributed":
         raise ValueError("method must be 'distributed' or 'window'")
-    order = [F.col(k).asc_nulls_first() for k in keys] + [
-        F.col(measure).desc_nulls_last(),
-        F.col(tie).asc_nulls_last(),
-    ]
-    part = F.spark_partition_id()
-    # Row index within the partition: the low 33 bits of monotonically_increasing_id,
-    # assigned in the (sorted) order the task emits rows.
-    index = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
-    pos = materialize(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("*", part.alias("_part"), index.alias("_idx"))
-    )
-    # Per (partition, group): first index and row count; rows of the group in
-    # earlier partitions come from a running sum over partitions.  One row per
-    # (partition, group) pair present: at most partitions + groups rows.
-    counts = pos.groupBy("_part", *keys).agg(
-        F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = F.sum("_n").over(
-        Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = materialize(
-        counts.select("_part", *keys, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
-    )
-    # The offsets are broadcast only behind a measured size check (rows x row
-    # width against the session's broadcast threshold); beyond it the join is a
-    # shuffle join, balanced because ``_part`` splits hot groups.
-    left, right = pos.alias("_l"), offsets.alias("_o")
-    if _fits_broadcast(offsets):
-        right = F.broadcast(offsets).alias("_o")
-    cond = [F.col("_l._part") == F.col("_o._part")] + [
-        F.col(f"_l.{k}").eqNullSafe(F.col(f"_o.{k}")) for k in keys
-    ]
-    ranked = left.join(right, cond, "inner")
-    value = F.col("_o._before") + F.col("_l._idx") - F.col("_o._first") + F.lit(1)
-    return ranked.select(*[F.col(f"_l.`{c}`") for c in df.columns], value.cast("long").alias(rank))
-
-
-_ROW_BYTES_GUESS = 64  # bytes per offsets row: partition id, group keys, two longs
-
-
-def _fits_broadcast(small: DataFrame) -> bool:
-    """True when the (materialised) table is under the session's broadcast
-    threshold, measured as its row count times a per-row width."""
-    import re
-
-    text = str(small.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
-    m = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text)
-    if not m:
-        return False
-    limit_bytes = int(m.group(1)) * 1024 ** "_kmgt".index(m.group(2) or "_")
-    if limit_bytes <= 0:
-        return False
-    return small.count() * _ROW_BYTES_GUESS <= limit_bytes
+    step = _octave(measure)
+    whole = df.schema[measure].dataType.typeName() in ("byte", "short", "integer", "long")
+    integral = df.schema[tie].dataType.typeName() in ("byte", "short", "integer", "long")
+    single = (F.col(measure).isNull() | F.col(measure).between(-20, 20)) if whole else F.col(measure).isNull()
+    part = F.when(single, F.shiftright(F.col(tie).cast("long"), 20)) if integral else F.lit(None).cast("long")
+    cut = df.select("*", step.alias("_step"), part.alias("_part"))
+    place = [*keys, "_step", "_part"]
+    order = [F.col("_step").desc_nulls_last(), F.col("_part").asc_nulls_last()]
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    counts = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).select(*place, F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.row_number().over(_window(place, measure, tie))
+    left, right = cut.select("*", inside.alias("_rn")).alias("_l"), counts.alias("_r")
+    same = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in place]
+    value = (F.col("_r._before") + F.col("_l._rn")).cast("long")
+    return left.join(right, same, "inner").select(*[F.col(f"_l.`{c}`") for c in df.columns], value.alias(rank))
 
 
 def top_n_per_group(
@@ -126,7 +89,13 @@ def top_n_per_group(
     n: int = DEFAULT_TOP_N,
     rank: str = DEFAULT_RANK_COL,
 ) -> DataFrame:
-    """Keep the first ``n`` rows of each group (ranks 1..n) and add the rank."""
+    """Keep the first ``n`` rows of each group (ranks 1..n) and add the rank.
+
+    Beyond the session's ``windowGroupLimitThreshold`` Catalyst would sort whole
+    groups instead of limiting them in every task; there the rows are numbered with
+    ``rank_in_group``, which splits groups, and cut afterwards."""
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return rank_in_group(df, keys, measure, tie, rank).filter(F.col(rank) <= F.lit(n))
     ranked = df.select("*", F.row_number().over(_window(keys, measure, tie)).alias(rank))
     return ranked.filter(F.col(rank) <= F.lit(n)).withColumn(rank, F.col(rank).cast("long"))
 

@@ -9,9 +9,14 @@ from tidemark.functions import blank_to_null, calendar_day_age, sentinel_to_null
 from tidemark.functions.text import NO_LICENSE_SENTINEL
 
 
+def is_valid(id_col: str = "id", measure: str = "stars") -> Column:
+    """An id is present and the measure is >= 0 (a NULL measure is not)."""
+    return F.col(id_col).isNotNull() & (F.col(measure) >= 0)
+
+
 def keep_valid(raw: DataFrame, id_col: str = "id", measure: str = "stars") -> DataFrame:
-    """Row filter: an id is present and the measure is >= 0 (NULL measure dropped)."""
-    return raw.filter(F.col(id_col).isNotNull() & (F.col(measure) >= 0))
+    """The valid rows."""
+    return raw.filter(is_valid(id_col, measure))
 
 
 def engagement(stars="stars", forks="forks") -> Column:

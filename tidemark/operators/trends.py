@@ -51,3 +51,8 @@ def growth(daily: DataFrame, key: str = "language", time: str = "snapshot_date")
 def language_trends(stg: DataFrame) -> DataFrame:
     """Trends mart (12 columns): daily rollup plus growth."""
     return growth(language_daily(stg)).select(*TRENDS_COLUMNS)
+
+
+def trends_order():
+    """The trends mart's order: newest snapshot first, largest total first, then by name."""
+    return [F.col("snapshot_date").desc_nulls_last(), F.col("total_stars").desc_nulls_last(), F.col("language").asc_nulls_last()]

@@ -1,8 +1,8 @@
 """The whole batch: load -> stage -> marts -> checks -> breakouts.
 
-Materialisation follows the model policy: the raw table and the marts are
-Parquet tables partitioned by ``snapshot_date``; staging and the daily rollup
-are lazy views.  Every later step reads the *written* table back, which cuts
+Materialisation follows the model policy: the raw table, the top repos and the
+breakouts are Parquet tables partitioned by ``snapshot_date``, the small trends mart
+is one table in its report order; staging and the daily rollup are lazy views.  Every later step reads the *written* table back, which cuts
 the lineage: a lost executor re-runs only the tasks of the current step.
 
 Incremental refresh: raw, staging, top repos and breakouts depend only on rows
@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import breakouts as bo
 from tidemark.operators import quality
-from tidemark.operators.marts import top_repos
+from tidemark.operators.marts import top_order, top_repos
 from tidemark.operators.staging import stage
-from tidemark.operators.trends import language_daily, language_trends
+from tidemark.operators.trends import language_daily, language_trends, trends_order
+from tidemark.schema import RAW
 from tidemark.sources.sinks import materialize, read_table, replace_table
 from tidemark.sources.snapshots import read_snapshots
 
@@ -34,44 +35,56 @@ def _paths(out_dir: str) -> dict[str, str]:
     return {t: f"{out_dir.rstrip('/')}/{t}" for t in TABLES}
 
 
+def _schemas(spark: SparkSession) -> dict:
+    """The tables' schemas, from the models over an empty raw table (plans only)."""
+    raw = spark.createDataFrame([], RAW)
+    stg = stage(raw)
+    top = top_repos(stg)
+    frames = (raw, top, language_trends(stg), bo.breakouts(top))
+    return {name: df.schema for name, df in zip(TABLES, frames)}
+
+
 def build(
     spark: SparkSession,
     raw: DataFrame,
     out_dir: str,
     on_fail: str = "warn",
     mode: str = "full",
+    dates: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Write the raw table and the marts under ``out_dir`` from a raw DataFrame.
 
     Returns the written tables (read back), the views, and the check summary.
     An empty ``raw`` writes nothing and returns an empty dict (existing tables
-    are kept).  ``mode='dynamic'`` replaces only the dates present in ``raw``
-    (raw, top repos, breakouts); the trends mart is rebuilt from the whole raw
-    table either way.
+    are kept).  ``mode='dynamic'`` replaces the snapshot ``dates`` (by default those
+    present in ``raw``) in the raw table, the top repos and the breakouts, also where
+    a date ends up without rows; the trends mart is rebuilt from the whole raw table
+    either way.
     """
-    p = _paths(out_dir)
-    if not replace_table(raw, p["raw_repos"], mode=mode, skip_if_empty=True):
+    p, schemas = _paths(out_dir), _schemas(spark)
+    if mode == "dynamic" and dates is None:
+        dates = [str(r[0]) for r in raw.select("snapshot_date").distinct().collect()]  # one value a day
+    if not replace_table(raw, p["raw_repos"], mode=mode, skip_if_empty=True, dates=dates):
         return {}
     raw_t = read_table(spark, p["raw_repos"], schema=raw.schema)
     raw_t.createOrReplaceTempView("raw_repos")
 
-    if mode == "dynamic":
-        dates = raw.select("snapshot_date").distinct()
-        new_stg = stage(raw_t.join(dates, "snapshot_date", "left_semi"))
-    else:
-        new_stg = stage(raw_t)
-    top_t = materialize(spark, top_repos(new_stg), "mart_top_repos", "table", p["mart_top_repos"], mode=mode)
+    wanted = F.col("snapshot_date").isin(*[F.to_date(F.lit(d)) for d in dates]) if mode == "dynamic" else F.lit(True)
     stg = materialize(spark, stage(raw_t), "stg_repos", "view")
+    top_t = materialize(
+        spark, top_repos(stg.filter(wanted)), "mart_top_repos", "table", p["mart_top_repos"], schemas["mart_top_repos"],
+        mode=mode, dates=dates, order=top_order(),
+    )
     materialize(spark, language_daily(stg), "int_language_daily", "view")
     trends_t = materialize(
-        spark, language_trends(stg), "mart_language_trends", "table", p["mart_language_trends"], mode="full"
+        spark, language_trends(stg), "mart_language_trends", "table", p["mart_language_trends"],
+        schemas["mart_language_trends"], partition_by=(), order=trends_order(),
+    )
+    checks = quality.summary(raw_t, top_t, trends_t, on_fail=on_fail)
+    brk_t = materialize(
+        spark, bo.breakouts(top_t.filter(wanted)), "breakout_repos", "table", p["breakout_repos"], schemas["breakout_repos"],
+        mode=mode, dates=dates, order=bo.breakout_order(),
     )
-    checks = quality.summary(raw_t, stg, top_t, trends_t, on_fail=on_fail)
-    if mode == "dynamic":
-        top_new = top_t.join(raw.select("snapshot_date").distinct(), "snapshot_date", "left_semi")
-    else:
-        top_new = top_t
-    brk_t = materialize(spark, bo.breakouts(top_new), "breakout_repos", "table", p["breakout_repos"], mode=mode)
     return {
         "raw_repos": raw_t,
         "stg_repos": stg,
@@ -85,32 +98,31 @@ def build(
 def load_raw(spark: SparkSession, base_dir: str, out_dir: str) -> int | None:
     """Loader step alone: snapshot files -> raw table (full refresh).
 
-    Returns the number of rows loaded, counted while writing (an
-    ``Observation`` on the write, no second scan); ``None`` when there was
-    nothing to load and the existing table was kept.
-    """
-    from pyspark.sql import Observation
-
-    raw = read_snapshots(spark, base_dir)
-    if raw.isEmpty():
+    Returns the number of rows loaded; ``None`` when there was nothing to load and the
+    existing table was kept.  The count comes from the written files' footers."""
+    path = _paths(out_dir)["raw_repos"]
+    if not replace_table(read_snapshots(spark, base_dir), path, skip_if_empty=True):
         return None
-    obs = Observation("load")
-    replace_table(raw.observe(obs, F.count(F.lit(1)).alias("rows")), _paths(out_dir)["raw_repos"])
-    return int(obs.get["rows"])
+    return read_table(spark, path, schema=RAW).count()
 
 
 def run(spark: SparkSession, base_dir: str, out_dir: str, on_fail: str = "warn") -> dict[str, DataFrame]:
-    """Full refresh from a directory of dated snapshot files."""
-    return build(spark, read_snapshots(spark, base_dir), out_dir, on_fail=on_fail, mode="full")
+    """Full refresh from a folder of dated snapshots; ``row_count`` holds the number of
+    rows loaded."""
+    out = build(spark, read_snapshots(spark, base_dir), out_dir, on_fail=on_fail, mode="full")
+    if out:
+        out["row_count"] = out["raw_repos"].agg(F.count(F.lit(1)).alias("row_count"))
+    return out
 
 
 def refresh(
     spark: SparkSession, base_dir: str, out_dir: str, dates: Sequence[str], on_fail: str = "warn"
 ) -> dict[str, DataFrame]:
-    """Rebuild only the given snapshot dates (dynamic partition overwrite)."""
+    """Rebuild only the given snapshot dates (dynamic partition overwrite).  No snapshot
+    of these dates at all keeps the tables, like an empty load."""
     wanted = [F.to_date(F.lit(d)) for d in dates]
     raw = read_snapshots(spark, base_dir).filter(F.col("snapshot_date").isin(*wanted))
-    return build(spark, raw, out_dir, on_fail=on_fail, mode="dynamic")
+    return build(spark, raw, out_dir, on_fail=on_fail, mode="dynamic", dates=dates)
 
 
 def open_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
@@ -119,11 +131,11 @@ def open_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     yet are skipped (the existence guard), so a fresh warehouse yields ``{}``."""
     from tidemark.sources.sinks import table_exists
 
-    p = _paths(out_dir)
+    p, schemas = _paths(out_dir), _schemas(spark)
     out: dict[str, DataFrame] = {}
     for name, path in p.items():
         if table_exists(spark, path):
-            out[name] = read_table(spark, path)
+            out[name] = read_table(spark, path, schema=schemas[name])
             out[name].createOrReplaceTempView(name)
     if "raw_repos" in out:
         out["stg_repos"] = materialize(spark, stage(out["raw_repos"]), "stg_repos", "view")

@@ -40,7 +40,7 @@ def get_spark(
     conf = dict(REQUIRED_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
-    # checkpoint files of dropped DataFrames are removed (materialize())
+    # checkpoint files of dropped DataFrames are removed
     conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -89,19 +89,3 @@ def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20)
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
-
-
-def materialize(df):
-    """Compute ``df`` once and cut its lineage (``checkpoint``, eager) into the
-    shared folder named by ``spark.checkpoint.dir``.  Needed where two branches
-    of a plan must see the *same* rows in the same partitions.  When the setting
-    is unset, a temporary folder is installed only for a local master; on a
-    cluster the caller must name a shared folder."""
-    spark = df.sparkSession
-    if checkpoint_dir(spark) is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed by materialize)")
-        import tempfile
-
-        checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="tidemark-ckpt-"))
-    return df.checkpoint(eager=True)

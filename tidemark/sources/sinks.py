@@ -1,22 +1,38 @@
 """Sinks: snapshot files, raw table, marts, result tables.
 
-Tables are Parquet directories partitioned by ``snapshot_date``, so a date
-selection prunes partitions and a single day can be rewritten in place
-(dynamic partition overwrite).  Writes are whole-job outputs committed by
-Spark's file committer: a lost executor re-runs its tasks and the committed
-result is unchanged, so a retried write is idempotent.
+Large tables are Parquet directories partitioned by ``snapshot_date``, so a date
+selection prunes partitions and a single day can be rewritten in place.  Writes are whole-job outputs committed by Spark's file committer: a
+lost executor re-runs its tasks and the committed result is unchanged, so a
+retried write is idempotent.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 MODES = ("full", "dynamic")
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def list_glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, in any store Spark reads."""
+    fs, hpath = _fs(spark, pattern)
+    return [str(x.getPath()) for x in (fs.globStatus(hpath) or [])]
+
+
 def replace_table(
     df: DataFrame,
     path: str,
@@ -24,30 +40,66 @@ def replace_table(
     mode: str = "full",
     skip_if_empty: bool = False,
     fmt: str = "parquet",
+    order: Sequence = (),
+    dates: Sequence | None = None,
 ) -> bool:
-    """Create or replace a table from a query.
+    """Create or replace a table from a query, which runs exactly once.
 
-    * ``mode='full'``: delete everything, write everything (idempotent full refresh);
-    * ``mode='dynamic'``: replace only the partitions present in ``df``, keep
-      the others (a same-day rerun replaces that day only).
+    The rows are written beside the table first and take its place when the job is
+    done, so a failing job leaves the old table whole.
 
-    With ``skip_if_empty`` an empty input leaves the existing table untouched
-    and returns False.  Rows are clustered by the partition columns within
-    each task (``sortWithinPartitions``) so each task writes few files.
+    * ``mode='full'``: the whole table is replaced (idempotent full refresh);
+    * ``mode='dynamic'``: only partitions of the first partition column are: those
+      present in ``df`` and those listed in ``dates``, also when ``df`` has no rows for
+      them any more (then they are gone).
+
+    With ``skip_if_empty`` an empty input leaves the existing table untouched; the
+    result says whether rows were written.  Rows are clustered on the partition
+    columns first (``REBALANCE``: AQE joins small partitions and splits skewed ones),
+    so a date gets about one file a target size, and sorted by ``order`` within it.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    if skip_if_empty and df.isEmpty():
-        return False
-    parts = list(partition_by)
-    out = df.sortWithinPartitions(*parts) if parts else df
-    writer = out.write.format(fmt).mode("overwrite")
-    if mode == "dynamic":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    spark, parts, path = df.sparkSession, list(partition_by), path.rstrip("/")
+    if mode == "dynamic" and not parts:
+        raise ValueError("mode 'dynamic' needs a partition column")
+    out = df
     if parts:
-        writer = writer.partitionBy(*parts)
-    writer.save(path)
-    return True
+        out = df.hint("rebalance", *parts).sortWithinPartitions(*parts, *order)
+    elif order:
+        out = df.orderBy(*order)
+    new = f"{path}.new-{uuid.uuid4().hex}"
+    writer = out.write.format(fmt).mode("errorifexists")
+    (writer.partitionBy(*parts) if parts else writer).save(new)
+    written = [p.rpartition("/")[2] for p in list_glob(spark, f"{new}/{parts[0]}=*")] if parts else []
+    some = bool(written) if parts else not spark.read.format(fmt).schema(df.schema).load(new).isEmpty()
+    if not some and skip_if_empty:
+        _delete(spark, new)
+        return False
+    if mode == "full" or not path_exists(spark, path):
+        _delete(spark, path)
+        _move(spark, new, path)
+        return some
+    for name in {*written, *(f"{parts[0]}={d}" for d in dates or ())}:
+        _delete(spark, f"{path}/{name}")
+        if name in written:
+            _move(spark, f"{new}/{name}", f"{path}/{name}")
+    _delete(spark, new)
+    return some
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
+
+
+def _move(spark: SparkSession, old: str, new: str) -> None:
+    fs, source = _fs(spark, old)
+    target = _fs(spark, new)[1]
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {old} to {new}")
 
 
 def write_snapshots(records: DataFrame, base_dir: str, mode: str = "dynamic") -> bool:
@@ -78,14 +130,11 @@ def table_exists(spark: SparkSession, path_or_name: str) -> bool:
     """True when a catalogue table of that name or a directory at that path exists."""
     if "/" not in path_or_name and spark.catalog.tableExists(path_or_name):
         return True
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path_or_name)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    return path_exists(spark, path_or_name)
 
 
 def materialize(
-    spark: SparkSession, df: DataFrame, name: str, kind: str, path: str | None = None, **write_opts
+    spark: SparkSession, df: DataFrame, name: str, kind: str, path: str | None = None, schema=None, **write_opts
 ) -> DataFrame:
     """Materialisation policy: ``kind='view'`` registers a lazy temp view
     (staging / intermediate models); ``kind='table'`` writes Parquet at
@@ -97,11 +146,6 @@ def materialize(
     if kind != "table" or path is None:
         raise ValueError("kind must be 'view', or 'table' with a path")
     replace_table(df, path, **write_opts)
-    t = read_table(spark, path, schema=df.schema)
+    t = read_table(spark, path, schema=schema or df.schema)
     t.createOrReplaceTempView(name)
     return t
-
-
-def count_rows(df: DataFrame) -> DataFrame:
-    """Row count of a (loaded) table, as a one-row DataFrame."""
-    return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -1,45 +1,61 @@
-"""Snapshot sources: dated JSON snapshot files -> typed raw table.
+"""Snapshot sources: dated snapshot files -> typed raw table.
 
-Layout written by the collector: ``<base>/<YYYY-MM-DD>/snapshot.json``, one
-JSON array per file (multi-line), plus per-group debug files beside it that
-are never read.  The glob ``*/snapshot.json`` selects exactly the snapshot
-files: other files, and directories without a snapshot, contribute nothing.
-The snapshot date is the directory name, taken from each row's file path.
+Three layouts below one base folder, any mix of them:
+
+* ``<YYYY-MM-DD>/snapshot.json``: one JSON array a day (the collector's files).
+  Other files beside it are never read.  An array cannot be split: one task a day;
+* ``snapshot_date=<YYYY-MM-DD>/*.json``: JSON lines, as ``sinks.write_snapshots``
+  writes them; splittable, for volume;
+* ``snapshot_date=<YYYY-MM-DD>/*.parquet``: the same records as Parquet.
+
+A file that does not parse, or holds a value of the wrong type, stops the load
+(``FAILFAST``): nothing is ever turned into NULL or left out in silence.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.fixed import SNAPSHOT_FILE
 from tidemark.functions import json_array_text, to_utc_naive
 from tidemark.schema import PAYLOAD, RAW_COLUMNS, SNAPSHOT_RECORD
+from tidemark.sources.sinks import list_glob, path_exists
 
 _DATE_DIR = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
+_DATED = T.StructType(SNAPSHOT_RECORD.fields + [T.StructField("snapshot_date", T.DateType())])
+
+
+def _json(spark: SparkSession, schema: T.StructType, multi_line: bool):
+    """Declared schema, no silent NULLs, zone-less times read as UTC."""
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").option("timeZone", "UTC")
 
 
 def read_snapshot_records(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Every record of every ``<date>/snapshot.json`` under ``base_dir``, with
-    ``snapshot_date`` from the directory name.  Declared schema: no inference
-    pass over the files.  No snapshot at all gives an empty DataFrame (the
-    loader then keeps the existing table)."""
-    from pyspark.errors import AnalysisException
-    from pyspark.sql import types as T
-
-    try:
-        df = (
-            spark.read.schema(SNAPSHOT_RECORD)
-            .option("multiLine", True)
-            .json(f"{base_dir.rstrip('/')}/*/{SNAPSHOT_FILE}")
-        )
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        empty = T.StructType(SNAPSHOT_RECORD.fields + [T.StructField("snapshot_date", T.DateType())])
-        return spark.createDataFrame([], empty)
-    path = F.col("_metadata.file_path")
-    return df.withColumn("snapshot_date", F.to_date(F.regexp_extract(path, _DATE_DIR, 1)))
+    """Every record below ``base_dir`` with its ``snapshot_date``.
+
+    A folder without any snapshot gives an empty DataFrame (the loader then keeps
+    the existing table); a folder that does not exist is an error, and so is a
+    ``snapshot.json`` in a folder whose name is not a date."""
+    base = base_dir.rstrip("/")
+    if not path_exists(spark, base):
+        raise FileNotFoundError(f"no snapshot folder at {base_dir}")
+    parts = []
+    arrays = list_glob(spark, f"{base}/*/{SNAPSHOT_FILE}")
+    if arrays:
+        df = _json(spark, SNAPSHOT_RECORD, True).json(f"{base}/*/{SNAPSHOT_FILE}")
+        path = F.col("_metadata.file_path")
+        day = F.try_to_date(F.regexp_extract(path, _DATE_DIR, 1))
+        wrong = F.raise_error(F.concat(F.lit("not a date folder: "), path)).cast("date")
+        parts.append(df.withColumn("snapshot_date", F.coalesce(day, wrong)))
+    if list_glob(spark, f"{base}/snapshot_date=*/*.json"):
+        parts.append(read_snapshot_table(spark, base, "json"))
+    if list_glob(spark, f"{base}/snapshot_date=*/*.parquet"):
+        parts.append(read_snapshot_table(spark, base, "parquet"))
+    if not parts:
+        return spark.createDataFrame([], _DATED)
+    return union_snapshots(*parts)
 
 
 def to_raw(records: DataFrame) -> DataFrame:
@@ -75,8 +91,14 @@ def read_snapshots(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 def read_payload(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Search-API items (nested objects) with the declared payload schema."""
-    return spark.read.schema(PAYLOAD).option("multiLine", multi_line).json(path)
+    """Search-API items (nested objects) with the declared payload schema.
+
+    A file may hold bare items (or an array of them) or a stored response with the
+    items under ``items``; a response without items gives no rows."""
+    wrapped = T.StructType(PAYLOAD.fields + [T.StructField("items", T.ArrayType(PAYLOAD))])
+    rows = _json(spark, wrapped, multi_line).json(path)
+    bare = F.when(F.col("id").isNotNull(), F.array(F.struct(*PAYLOAD.fieldNames()))).otherwise(F.array().cast(T.ArrayType(PAYLOAD)))
+    return rows.select(F.explode(F.coalesce("items", bare)).alias("item")).select("item.*")
 
 
 def flatten_payload(items: DataFrame, language, as_of) -> DataFrame:
@@ -124,20 +146,22 @@ def dedup_snapshots(raw: DataFrame, key: str = "id", stamp: str = "ingested_at")
     Planned as ``row_number() = 1`` over (key, load date): Catalyst adds a
     partial ``WindowGroupLimit`` before the shuffle, so each map task forwards
     at most one row per key and day, however many copies a key has.  Rows with
-    a NULL key are kept apart per key value like any other group.  Ties on the
-    stamp are broken by the remaining columns' natural order via ``url`` and
-    ``stars`` (descending) for determinism.
+    a NULL key are not copies of each other: all of them stay, outside the
+    window.  Ties on the stamp are broken by ``url`` and ``stars`` (descending).
     """
     from pyspark.sql import Window
 
     w = Window.partitionBy(F.col(key), F.to_date(F.col(stamp))).orderBy(
         F.col(stamp).desc_nulls_last(), F.col("url").asc_nulls_last(), F.col("stars").desc_nulls_last()
     )
-    return raw.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1).drop("_rn")
+    known = raw.filter(F.col(key).isNotNull())
+    newest = known.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1).drop("_rn")
+    return newest.unionByName(raw.filter(F.col(key).isNull()))
 
 
-def read_snapshot_table(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Records written by ``sinks.write_snapshots`` (``snapshot_date=<day>``
-    directories of JSON lines); the date comes from partition discovery."""
-    df = spark.read.schema(SNAPSHOT_RECORD).json(base_dir)
-    return df.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+def read_snapshot_table(spark: SparkSession, base_dir: str, fmt: str = "json") -> DataFrame:
+    """Records below ``snapshot_date=<day>`` directories (see ``sinks.write_snapshots``),
+    the date from the directory."""
+    glob = f"{base_dir.rstrip('/')}/snapshot_date=*/*.{fmt}"
+    reader = _json(spark, _DATED, False) if fmt == "json" else spark.read.schema(_DATED)
+    return reader.option("basePath", base_dir).format(fmt).load(glob)
