@@ -2,12 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
-from tidemark.plans.catalog import Model
+from tidemark.plans.catalog import QUERIES, Model
 from tidemark.plans.inspect import count_nodes, explain_string, has_python
 
-Q = entry.queries()
+Q = QUERIES
 
 
 @pytest.mark.parametrize("key", sorted(Q))
@@ -62,6 +61,14 @@ def test_growth_lags_share_one_window(spark):
     assert count_nodes(plan.split("\n\n")[0], "Window") == 1
 
 
+@pytest.mark.parametrize("key", ["explorer_default", "top_for_language"])
+def test_date_filter_passes_below_the_aggregate(spark, key):
+    """The wanted quarter is selected on lineitem itself, before anything is grouped."""
+    plan = Q[key](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    quarter = next(line for line in plan.splitlines() if "Filter" in line and "last_day" in line)
+    assert "1998-06-30" in quarter and plan.index(quarter) > plan.index("Aggregate")
+
+
 def test_global_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in explain_string(Q["breakouts_top10"](spark, SF_SMALL))
 

@@ -8,7 +8,6 @@ organised as:
 * ``functions`` -- Column -> Column helpers (trim, day age, 32-bit velocity, ...)
 * ``operators`` -- staging, ranking, trends, breakouts, metrics, quality, explorer
 * ``plans``     -- the batch pipeline, the query catalogue and plan inspection
-* ``streaming`` -- intentionally empty: the workload is batch (see its docstring)
 """
 
 from tidemark.session import get_spark, checkpoint_dir

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import blank_to_null, calendar_day_age, sentinel_to_null
 from tidemark.operators import breakouts as bo
 from tidemark.operators import explorer, metrics, quality
-from tidemark.operators.marts import ranked_repos, top_repos
+from tidemark.operators.marts import ranked_repos, top_order, top_repos
 from tidemark.operators.ranking import trending
 from tidemark.operators.staging import engagement, keep_valid, stage
-from tidemark.operators.trends import growth, language_daily, language_trends
+from tidemark.operators.trends import growth, language_daily, language_trends, trends_order
 from tidemark.sources import bindings
 from tidemark.sources.snapshots import dedup_snapshots, union_snapshots
 
@@ -93,57 +93,26 @@ class Model:
         }
 
 
-# Built model chains, reused across queries.  A DataFrame is an immutable,
-# lazy plan: reusing one re-runs the whole plan on every action (nothing is
-# cached), it only skips rebuilding the plan object in Python.  The key holds
-# the session and the input files' modification times, so new data or a new
-# session gets a fresh plan.
-_MODELS: dict[tuple, Model] = {}
-
-
-def _inputs_version(sf_dir: str, tables: tuple[str, ...]) -> tuple:
-    import os
-
-    out = []
-    for t in tables:
-        try:
-            out.append(os.path.getmtime(f"{sf_dir}/{t}.parquet"))
-        except OSError:
-            out.append(None)
-    return tuple(out)
-
-
-def _model(spark: SparkSession, sf_dir: str, binding: str) -> Model:
-    tables = ("lineitem", "part") if binding == "parts" else ("events",)
-    version = _inputs_version(sf_dir, tables)
-    build = Model.parts if binding == "parts" else Model.users
-    if None in version:  # not local files: no version to key on, always rebuild
-        return build(spark, sf_dir)
-    key = (id(spark._jsparkSession), sf_dir, binding, version)
-    m = _MODELS.get(key)
-    if m is None:
-        m = build(spark, sf_dir)
-        if len(_MODELS) >= 16:  # bounded: drop old plans
-            _MODELS.clear()
-        _MODELS[key] = m
-    return m
+def _a(spark, d) -> Model:
+    return Model.parts(spark, d)
 
 
-def _a(spark, d) -> Model:
-    return _model(spark, d, "parts")
+def _wide(spark, d) -> Model:
+    """Binding A for queries that read suppliers or flags."""
+    return Model(bindings.parts_per_quarter(spark, d, wide=True))
 
 
 def _b(spark, d) -> Model:
-    return _model(spark, d, "users")
+    return Model.users(spark, d)
 
 
 # ---------------------------------------------------------------- scans / sources
 def q_raw_repos(spark, d):
-    return _a(spark, d).raw
+    return _wide(spark, d).raw
 
 
 def q_topics_json(spark, d):
-    return _a(spark, d).raw.select("url", "snapshot_date", "topics")
+    return _wide(spark, d).raw.select("url", "snapshot_date", "topics")
 
 
 def q_raw_row_count(spark, d):
@@ -155,25 +124,21 @@ def q_scan_trends(spark, d):
 
 
 def q_scan_top(spark, d):
-    return _a(spark, d).top.orderBy(
-        F.col("snapshot_date").desc_nulls_last(),
-        F.col("language").asc_nulls_last(),
-        F.col("rank_in_language").asc_nulls_last(),
-    )
+    return _a(spark, d).top.orderBy(*top_order())
 
 
 def q_union_snapshots(spark, d):
-    early, late = bindings.split_snapshots(_a(spark, d).raw)
+    early, late = bindings.split_snapshots(_wide(spark, d).raw)
     return union_snapshots(early, late)
 
 
 def q_dedup_snapshots(spark, d):
-    return dedup_snapshots(bindings.with_reloaded_copies(_a(spark, d).raw))
+    return dedup_snapshots(bindings.with_reloaded_copies(_wide(spark, d).raw))
 
 
 # ---------------------------------------------------------------- staging expressions
 def q_stg_repos(spark, d):
-    return _a(spark, d).stg
+    return _wide(spark, d).stg
 
 
 def q_stg_filter(spark, d):
@@ -220,7 +185,7 @@ def q_rank_in_language(spark, d):
 
 
 def q_top_repos(spark, d):
-    return _a(spark, d).top
+    return _a(spark, d).top.orderBy(*top_order())
 
 
 def q_language_daily(spark, d):
@@ -236,7 +201,7 @@ def q_language_growth(spark, d):
 
 
 def q_language_trends(spark, d):
-    return _a(spark, d).trends
+    return _a(spark, d).trends.orderBy(*trends_order())
 
 
 def q_trending_search(spark, d):
@@ -252,11 +217,11 @@ def q_language_median(spark, d):
 
 
 def q_breakouts(spark, d):
-    return _a(spark, d).breakouts
+    return bo.order_breakouts(_a(spark, d).breakouts)
 
 
 def q_breakouts_users(spark, d):
-    return _b(spark, d).breakouts
+    return bo.order_breakouts(_b(spark, d).breakouts)
 
 
 def q_breakout_count(spark, d):
@@ -331,8 +296,7 @@ def q_kpi_summary(spark, d):
 
 
 def q_kpi_pipeline_stats(spark, d):
-    m = _a(spark, d)
-    return metrics.pipeline_stats(m.raw, m.trends)
+    return metrics.pipeline_stats(_a(spark, d).raw)
 
 
 def q_snapshot_counts(spark, d):
@@ -357,14 +321,15 @@ def q_explorer_default(spark, d):
 
 
 def q_explorer_adhoc(spark, d):
-    explorer.register_views(_a(spark, d).views())
-    return explorer.explore(spark, ADHOC_SQL)
+    own = explorer.own_session(spark)
+    explorer.register_views(_a(own, d).views())
+    return explorer.explore(own, ADHOC_SQL)
 
 
 # ---------------------------------------------------------------- quality
 def q_quality_summary(spark, d):
     m = _a(spark, d)
-    return quality.summary(m.raw, m.stg, m.top, m.trends, on_fail="warn")
+    return quality.summary(m.raw, m.top, m.trends, on_fail="warn")
 
 
 def q_quality_rank_failures(spark, d):

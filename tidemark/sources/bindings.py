@@ -8,13 +8,10 @@ licences) so the staging rules have something to do.
 Plan notes (scale):
 
 * Binding A groups ``lineitem`` by (part, quarter) with partial aggregation,
-  so a hot part is combined map-side before the shuffle.  The distinct
-  supplier count and the flag set come from a separate pre-aggregated branch,
-  left-joined on (part, quarter); queries that do not read them lose it.  The part's first
-  ship date is a window over the *aggregated* rows (at most one row per
-  quarter per part), and the join to ``part`` is on the same key, so the
-  aggregated side keeps its partitioning.  ``part`` is joined by Catalyst's
-  choice: broadcast only under the size threshold AQE checks at run time.
+  so a hot part is combined map-side before the shuffle.  The part's first ship
+  date is a second, two-column aggregate joined on the part (dropped where it is
+  not read), so a date filter passes into the measures' scan.  The join to
+  ``part`` is on the same key; broadcast only under the size AQE measures.
 * Binding B groups ``events`` by (user, type, day); the user's first event is
   a window over the aggregated rows.
 """
@@ -38,25 +35,9 @@ SPLIT_DATE = "1998-07-01"         # union_snapshots split point
 DEDUP_MODULUS = 10                # rows with id % 10 = 0 are loaded twice
 
 
-_SCHEMAS: dict[tuple[str, float], object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver's Parquet tables.  The footer schema is read once
-    per file version and reused, so repeated queries skip the schema job."""
-    import os
-
-    path = f"{sf_dir}/{name}.parquet"
-    try:
-        key = (os.path.abspath(path), os.path.getmtime(path))
-    except OSError:  # not a local path: let Spark resolve it
-        return spark.read.parquet(path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """Read one of the driver's Parquet tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ingested_at(snapshot_date) -> "F.Column":
@@ -68,36 +49,51 @@ def quarter_end(ts) -> "F.Column":
     return F.last_day(F.add_months(F.trunc(F.to_date(ts), "quarter"), 2))
 
 
-def parts_per_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binding A: one raw row per (part, quarter of ship date)."""
-    li = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part")
+def _slim_quarters(li: DataFrame, quarter) -> DataFrame:
+    """Measures per (part, quarter); suppliers and flags in a branch of their own.
 
-    quarter = quarter_end("l_shipdate").alias("snapshot_date")
+    The branch is left-joined on the grouping key (unique on its side), so Catalyst
+    removes it from queries that read neither of its columns."""
     measures = li.groupBy("l_partkey", quarter).agg(
         F.sum("l_quantity").alias("quantity"),
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
-        F.min("l_shipdate").alias("first_in_quarter"),
         F.max("l_shipdate").alias("last_in_quarter"),
     )
-    # Distinct suppliers and the sorted flag set: first a declarative hash
-    # pre-aggregation on (part, quarter, supplier, flag), so the set-valued
-    # aggregate only sees pre-reduced rows after the shuffle.  Left-joined on
-    # the grouping key (unique on that side), so Catalyst removes the whole
-    # branch from queries that read neither column.
-    extras = (
-        li.groupBy("l_partkey", quarter, "l_suppkey", "l_returnflag")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .groupBy("l_partkey", "snapshot_date")
+    extras = _wide_quarters(li, quarter).select("l_partkey", "snapshot_date", "n_suppliers", "flags")
+    return measures.join(extras, ["l_partkey", "snapshot_date"], "left")
+
+
+def _wide_quarters(li: DataFrame, quarter) -> DataFrame:
+    """All measures in one pass: the supplier and flag sets are part of the same
+    aggregate and combined in every task before the shuffle."""
+    return (
+        li.groupBy("l_partkey", quarter)
         .agg(
-            F.count_distinct("l_suppkey").alias("n_suppliers"),
-            F.array_sort(F.collect_set("l_returnflag")).alias("flags"),
+            F.sum("l_quantity").alias("quantity"),
+            F.count(F.lit(1)).alias("n_lines"),
+            F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
+            F.max("l_shipdate").alias("last_in_quarter"),
+            F.collect_set("l_suppkey").alias("suppliers"),
+            F.collect_set("l_returnflag").alias("flag_set"),
         )
+        .withColumns({"n_suppliers": F.size("suppliers"), "flags": F.array_sort("flag_set")})
     )
-    per_quarter = measures.join(extras, ["l_partkey", "snapshot_date"], "left")
-    first_ship = F.min("first_in_quarter").over(Window.partitionBy("l_partkey"))
-    per_quarter = per_quarter.select("*", first_ship.alias("created_at"))
+
+
+def parts_per_quarter(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    """Binding A: one raw row per (part, quarter of ship date).
+
+    ``wide`` reads ``lineitem`` once for queries that want suppliers or flags; the
+    default form is for the others, which drop that branch.  The first ship date is an
+    aggregate of its own, joined on the part, so a filter on the snapshot date reaches
+    the measures' scan."""
+    li = table(spark, sf_dir, "lineitem")
+    part = table(spark, sf_dir, "part")
+    quarter = quarter_end("l_shipdate").alias("snapshot_date")
+    quarters = _wide_quarters(li, quarter) if wide else _slim_quarters(li, quarter)
+    first = li.groupBy("l_partkey").agg(F.min("l_shipdate").alias("created_at"))
+    per_quarter = quarters.join(first, "l_partkey")
 
     key = F.col("l_partkey")
     size = F.col("p_size")
@@ -176,10 +172,10 @@ def split_snapshots(raw: DataFrame, split_date: str = SPLIT_DATE) -> tuple[DataF
 
 
 def with_reloaded_copies(raw: DataFrame, modulus: int = DEDUP_MODULUS) -> DataFrame:
-    """Raw rows with an id, plus a later re-load (stars + 1, one hour newer) of
-    the rows whose id is a multiple of ``modulus``: input for de-duplication.
-    One pass over ``raw`` (a generated copy index), not a self-union."""
-    base = raw.filter(F.col("id").isNotNull())
+    """Raw rows, plus a later re-load (stars + 1, one hour newer) of the rows whose id
+    is a multiple of ``modulus``: input for de-duplication.  One pass over ``raw`` (a
+    generated copy index), not a self-union."""
+    base = raw
     copies = F.when(F.col("id") % modulus == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = base.select("*", F.explode(copies).alias("_copy"))
     again = F.col("_copy") == 1
