@@ -4,36 +4,26 @@ import pytest
 
 import __spark_entry__ as entry
 from tidemark.plans.catalog import QUERIES
-from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.conftest import SF_ORACLE
 from tests.oracle_harness import compare, duck
 
 KEYS = sorted(QUERIES)
 
-# A representative subset is also checked at sf0.01 (the driver's scale).
-ORACLE_SCALE_KEYS = ["breakouts", "language_trends", "top_repos", "raw_repos", "kpi_summary", "dedup_snapshots"]
-
-
 def test_every_key_has_oracle_sql():
     assert set(KEYS) <= set(entry.oracle_sql())
     assert set(KEYS) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", KEYS)
-def test_key_matches_oracle_small(spark, duck_small, key):
-    r = compare(spark, SF_SMALL, key, duck_small)
-    assert r["columns_match"], r
-    assert r["spark_rows"] == r["oracle_rows"], r
-    assert r["values_match"], r
-
-
 @pytest.fixture(scope="module")
 def duck_oracle():
     return duck(SF_ORACLE)
 
 
-@pytest.mark.parametrize("key", ORACLE_SCALE_KEYS)
-def test_key_matches_oracle_sf001(spark, duck_oracle, key):
+@pytest.mark.parametrize("key", KEYS)
+def test_key_matches_oracle(spark, duck_oracle, key):
     r = compare(spark, SF_ORACLE, key, duck_oracle)
+    assert r["columns_match"], r
+    assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
 
 
