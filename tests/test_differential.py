@@ -57,14 +57,10 @@ def _raw_rows(rows):
 
 def _oracle(rows, body):
     con = duckdb.connect()
-    con.execute(
-        "CREATE TABLE raw_repos (id BIGINT, name VARCHAR, description VARCHAR, language VARCHAR, stars INTEGER, "
-        "forks INTEGER, open_issues INTEGER, watchers INTEGER, license VARCHAR, topics VARCHAR, "
-        "created_at TIMESTAMP, updated_at TIMESTAMP, pushed_at TIMESTAMP, url VARCHAR, ingested_at TIMESTAMP, "
-        "snapshot_date DATE)"
-    )
+    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+    con.execute("CREATE TABLE raw_repos (" + ", ".join(f"{f.name} {kinds[f.dataType.simpleString()]}" for f in RAW.fields) + ")")
     if rows:
-        con.executemany("INSERT INTO raw_repos VALUES (" + ", ".join(["?"] * 16) + ")", rows)
+        con.executemany("INSERT INTO raw_repos VALUES (" + ", ".join("?" for _ in RAW.fields) + ")", rows)
     cur = con.execute(f"WITH {MODELS.strip()}\n{body}")
     cols = [c[0] for c in cur.description]
     return cols, cur.fetchall()

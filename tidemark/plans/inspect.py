@@ -13,20 +13,13 @@ def explain_string(df: DataFrame, mode: str = "formatted") -> str:
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
-def final_plan(df: DataFrame) -> str:
-    """Physical plan after execution (AQE's final plan): runs the query via a
-    ``noop`` write, then returns the executed plan tree."""
-    df.write.format("noop").mode("overwrite").save()
-    return explain_string(df, "formatted")
-
-
 def count_nodes(plan: str, name: str) -> int:
     """Occurrences of an operator name in the plan tree (tree section only)."""
     tree = plan.split("\n\n")[0] if "\n\n" in plan else plan
     return len(re.findall(rf"\b{re.escape(name)}\b", tree))
 
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "FlatMapGroupsInArrow", "PythonUDF")
 
 
 def has_python(plan: str) -> bool:
