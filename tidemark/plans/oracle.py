@@ -158,7 +158,7 @@ middles AS (
     SELECT snapshot_date, language, members, sorted[(len(sorted) + 1) // 2] AS low, sorted[len(sorted) // 2 + 1] AS high FROM paces
 ),
 medians AS (
-    SELECT snapshot_date, language, members, CAST(low + (high - low) * 0.5 AS FLOAT) AS median_velocity FROM middles
+    SELECT snapshot_date, language, members, CAST((CAST(low AS DOUBLE) + CAST(high AS DOUBLE)) / 2 AS FLOAT) AS median_velocity FROM middles
 ),
 breakout_repos AS (
     SELECT snapshot_date, language, r.repo_name AS repo_name, r.stars AS stars, r.forks AS forks,

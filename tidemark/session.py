@@ -39,6 +39,8 @@ def get_spark(
         builder = builder.master(master)
     conf = dict(REQUIRED_CONF)
     conf["spark.ui.enabled"] = "false"
+    # no call-site capture per Column call: it is most of the time plans take to build
+    conf["spark.python.sql.dataFrameDebugging.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     # checkpoint files of dropped DataFrames are removed
     conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"

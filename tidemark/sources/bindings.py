@@ -40,10 +40,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ingested_at(snapshot_date) -> "F.Column":
-    return snapshot_date.cast("timestamp_ntz") + F.make_interval(hours=F.lit(INGEST_HOUR))
-
-
 def quarter_end(ts) -> "F.Column":
     """Last day of the calendar quarter containing ``ts``."""
     return F.last_day(F.add_months(F.trunc(F.to_date(ts), "quarter"), 2))
@@ -95,30 +91,24 @@ def parts_per_quarter(spark: SparkSession, sf_dir: str, wide: bool = False) -> D
     first = li.groupBy("l_partkey").agg(F.min("l_shipdate").alias("created_at"))
     per_quarter = quarters.join(first, "l_partkey")
 
-    key = F.col("l_partkey")
-    size = F.col("p_size")
-    rows = per_quarter.join(part, key == F.col("p_partkey"), "inner")
-    stars = F.col("quantity").cast("int")
-    return rows.select(
-        F.when(key % PART_NULL_ID_MODULUS == 0, F.lit(None).cast("long")).otherwise(key).alias("id"),
-        F.col("p_name").alias("name"),
-        F.when(size % 5 == 0, F.lit("   "))
-        .when(size % 2 == 0, F.concat(F.lit("  "), F.col("p_type"), F.lit(" ")))
-        .otherwise(F.col("p_type"))
-        .alias("description"),
-        F.col("p_brand").alias("language"),
-        F.when(key % PART_NEGATIVE_MODULUS == 0, -stars).otherwise(stars).alias("stars"),
-        F.col("n_lines").cast("int").alias("forks"),
-        F.col("n_returned").cast("int").alias("open_issues"),
-        F.col("n_suppliers").cast("int").alias("watchers"),
-        F.when(F.col("p_type") == "SMALL", F.lit("NOASSERTION")).otherwise(F.col("p_type")).alias("license"),
-        json_array_text("flags").alias("topics"),
-        F.col("created_at"),
-        F.col("last_in_quarter").alias("updated_at"),
-        F.col("last_in_quarter").alias("pushed_at"),
-        F.concat(F.lit(PART_URL_PREFIX), key.cast("string")).alias("url"),
-        _ingested_at(F.col("snapshot_date")).alias("ingested_at"),
-        F.col("snapshot_date"),
+    rows = per_quarter.join(part, F.col("l_partkey") == F.col("p_partkey"), "inner")
+    return rows.withColumn("topics", json_array_text("flags")).selectExpr(
+        f"CASE WHEN l_partkey % {PART_NULL_ID_MODULUS} <> 0 THEN l_partkey END AS id",
+        "p_name AS name",
+        "CASE WHEN p_size % 5 = 0 THEN '   ' WHEN p_size % 2 = 0 THEN concat('  ', p_type, ' ') ELSE p_type END AS description",
+        "p_brand AS language",
+        f"CASE WHEN l_partkey % {PART_NEGATIVE_MODULUS} = 0 THEN -int(quantity) ELSE int(quantity) END AS stars",
+        "int(n_lines) AS forks",
+        "int(n_returned) AS open_issues",
+        "int(n_suppliers) AS watchers",
+        "CASE WHEN p_type = 'SMALL' THEN 'NOASSERTION' ELSE p_type END AS license",
+        "topics",
+        "created_at",
+        "last_in_quarter AS updated_at",
+        "last_in_quarter AS pushed_at",
+        f"concat('{PART_URL_PREFIX}', string(l_partkey)) AS url",
+        f"CAST(snapshot_date AS timestamp_ntz) + INTERVAL '{INGEST_HOUR}' HOUR AS ingested_at",
+        "snapshot_date",
     )
 
 
@@ -133,24 +123,23 @@ def users_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     first_seen = F.min("first_in_day").over(Window.partitionBy("user_id"))
     per_day = per_day.select("*", first_seen.alias("created_at"))
-    uid = F.col("user_id")
-    return per_day.select(
-        uid.alias("id"),
-        F.concat(F.lit(USER_NAME_PREFIX), uid.cast("string")).alias("name"),
-        F.lit(None).cast("string").alias("description"),
-        F.upper("event_type").alias("language"),
-        F.col("value_floor").cast("int").alias("stars"),
-        F.col("n_events").cast("int").alias("forks"),
-        F.lit(0).alias("open_issues"),
-        F.lit(0).alias("watchers"),
-        F.lit(None).cast("string").alias("license"),
-        F.lit("[]").alias("topics"),
-        F.col("created_at"),
-        F.col("last_in_day").alias("updated_at"),
-        F.col("last_in_day").alias("pushed_at"),
-        F.concat(F.lit(USER_URL_PREFIX), uid.cast("string")).alias("url"),
-        _ingested_at(F.col("snapshot_date")).alias("ingested_at"),
-        F.col("snapshot_date"),
+    return per_day.selectExpr(
+        "user_id AS id",
+        f"concat('{USER_NAME_PREFIX}', string(user_id)) AS name",
+        "CAST(NULL AS string) AS description",
+        "upper(event_type) AS language",
+        "int(value_floor) AS stars",
+        "int(n_events) AS forks",
+        "0 AS open_issues",
+        "0 AS watchers",
+        "CAST(NULL AS string) AS license",
+        "'[]' AS topics",
+        "created_at",
+        "last_in_day AS updated_at",
+        "last_in_day AS pushed_at",
+        f"concat('{USER_URL_PREFIX}', string(user_id)) AS url",
+        f"CAST(snapshot_date AS timestamp_ntz) + INTERVAL '{INGEST_HOUR}' HOUR AS ingested_at",
+        "snapshot_date",
     )
 
 
