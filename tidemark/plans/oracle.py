@@ -90,9 +90,9 @@ raw_repos AS (
 
 # Fixed values: 'NOASSERTION', top 20, factor 3, 50 stars, 2 and 1 digits; FLOAT is the
 # velocity's type.
-MODELS = """
+MODELS = r"""
 cleaned AS (
-    SELECT *, regexp_replace(description, '^ +| +$', '', 'g') AS said FROM raw_repos WHERE id IS NOT NULL AND stars >= 0
+    SELECT *, regexp_replace(description, '^\p{Zs}+|\p{Zs}+$', '', 'g') AS said FROM raw_repos WHERE id IS NOT NULL AND stars >= 0
 ),
 stg_repos AS (
     SELECT id AS repo_id, name AS repo_name, CASE WHEN length(said) > 0 THEN said END AS description,
