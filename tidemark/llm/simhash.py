@@ -198,11 +198,11 @@ def link(x: np.ndarray, n_home: int, metrics, max_bits: int, seed: int = 0) -> n
 
 def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     """Distinct fingerprints (fp) -> spanning links (u, v) of all pairs within
-    ``max_bits``.  The router is fitted on at most ``SAMPLE`` fingerprints; it
-    only places points, the links do not depend on it."""
+    ``max_bits``.  The router is fitted on a sample, an eighth of the fingerprints
+    and ``SAMPLE`` at most; it only places points, the links do not depend on it."""
     spark = fps.sparkSession
     n = fps.count()
-    take = int(min(SAMPLE, max(4096, 16 * n // SHARD)))
+    take = min(SAMPLE, n // 8)
     sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(take).collect()], dtype=np.int64).view(np.uint64)
     trees, first = [], 0
     for mask, radius in segments(max_bits):
