@@ -138,7 +138,7 @@ language_growth AS (
            CASE WHEN past.total_stars <> 0
                 THEN round(100.0 * (now.total_stars - past.total_stars) / past.total_stars, 2) END AS stars_growth_pct
     FROM int_language_daily now ASOF LEFT JOIN int_language_daily past
-      ON now.language = past.language AND now.snapshot_date > past.snapshot_date
+      ON coalesce(now.language, chr(1)) = coalesce(past.language, chr(1)) AND now.snapshot_date > past.snapshot_date
 ),
 mart_language_trends AS (
     SELECT snapshot_date, language, repo_count, total_stars, avg_stars, max_stars, total_forks,
