@@ -14,6 +14,7 @@ of every task, and any store Spark reads will do.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -30,6 +31,9 @@ BLOCK = 1 << 22         # ids after which a block is closed
 RANK = 512              # high bits per entry of the select directory
 CACHE = 500_000         # distinct words whose ids a worker remembers
 SENTINEL = "<|endoftext|>"
+# Fixed values of the tokenizer: how it cuts a lower-cased run into words.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 
 
 class EliasFano:
@@ -144,10 +148,13 @@ class Block:
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer that drops white space, word by word.
+    """Encodes texts with a word-end tokenizer that drops white space.
 
-    Its words never see each other, so a word's ids can be remembered; new words
-    go to the tokenizer many at a time, parted by a special token."""
+    A run without white space never sees its neighbours, so its ids are remembered.
+    A new run in the plain alphabet (ASCII and Latin-1 letters, where normalisation
+    is lower-casing) is cut into the tokenizer's own words; unknown words go to the
+    tokenizer many at a time, each ending with its word-end piece.  Any other run is
+    encoded as it is, parted by a special token."""
 
     def __init__(self, path: str):
         import os
@@ -157,26 +164,56 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.part = self.tokenizer.token_to_id(SENTINEL)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
+        self.final = np.zeros(size, bool)
+        for piece, i in self.tokenizer.get_vocab().items():
+            self.final[i] = piece.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}")
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
+
+    def _learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 1024):
+            some = words[at:at + 1024]
+            ids = self._ids(" ".join(some))
+            stops = np.flatnonzero(self.final[ids]) + 1
+            if len(stops) != len(some):
+                raise ValueError("a word without exactly one word end")
+            data, w = ids.tobytes(), self.width
+            a = 0
+            for word, z in zip(some, stops.tolist()):
+                self.words[word] = data[a * w:z * w]
+                a = z
+
+    def learn(self, runs: set[bytes]) -> None:
+        if len(self.known) + len(runs) > CACHE:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        plain = [w for w in new if b"<|" not in w]
-        for at in range(0, len(plain), 4096):
-            some = plain[at:at + 4096]
-            ids = self._ids(SENTINEL.join(w.decode() for w in some))
+            self.words.clear()
+        plain, odd = [], []
+        for run in runs:
+            if run not in self.known:
+                text = run.decode()
+                if PLAIN(text) and "<|" not in text:
+                    plain.append((run, CUT(text.lower())))
+                else:
+                    odd.append(run)
+        self._learn_words(list({w for _, words in plain for w in words if w not in self.words}))
+        get = self.words.__getitem__
+        for run, words in plain:
+            self.known[run] = b"".join(map(get, words))
+        whole = [r for r in odd if b"<|" not in r]
+        for at in range(0, len(whole), 1024):
+            some = whole[at:at + 1024]
+            ids = self._ids(SENTINEL.join(r.decode() for r in some))
             cuts = np.flatnonzero(ids == self.part)
-            for w, a, b in zip(some, np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(ids)]))):
-                self.known[w] = ids[a:b].tobytes()
-        for w in new:
-            if b"<|" in w:
-                self.known[w] = self._ids(w.decode()).tobytes()
+            for r, a, z in zip(some, np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(ids)]))):
+                self.known[r] = ids[a:z].tobytes()
+        for r in odd:
+            if b"<|" in r:
+                self.known[r] = self._ids(r.decode()).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text."""
