@@ -156,9 +156,12 @@ class Mix:
         return self.spark.range(shards).withColumnRenamed("id", "shard").mapInArrow(run, schema)
 
     def used(self) -> DataFrame:
-        """(no, block, row, from, words, times): pieces with how often they are taken."""
+        """(no, block, row, from, words, times): pieces with how often they are taken.
+
+        The planner sees a short range behind the draws and would broadcast them, but
+        they grow with the corpus; hence the merge join."""
         times = self.draws().groupBy("no", "block").agg(F.count("*").alias("times"))
-        return self.pieces().join(times, ["no", "block"])
+        return self.pieces().join(times.hint("merge"), ["no", "block"])
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
