@@ -192,18 +192,33 @@ class WordEncoder:
         if len(self.known) + len(runs) > CACHE:
             self.known.clear()
             self.words.clear()
-        plain, odd = [], []
-        for run in runs:
-            if run not in self.known:
-                text = run.decode()
-                if PLAIN(text) and "<|" not in text:
-                    plain.append((run, CUT(text.lower())))
-                else:
-                    odd.append(run)
-        self._learn_words(list({w for _, words in plain for w in words if w not in self.words}))
-        get = self.words.__getitem__
-        for run, words in plain:
-            self.known[run] = b"".join(map(get, words))
+        # flat lists of strings: millions of small containers would keep the collector busy
+        simple, cores, tails, plain, cuts, odd = [], [], [], [], [], []
+        for run in runs.difference(self.known):
+            core = run.rstrip(b".,")
+            if core.isalpha():  # ASCII letters, then full stops and commas
+                simple.append(run)
+                cores.append(core.lower().decode())
+                tails.append(run[len(core):].decode())
+                continue
+            text = run.decode()
+            if PLAIN(text) and "<|" not in text:
+                plain.append(run)
+                cuts.append(" ".join(CUT(text.lower())))
+            else:
+                odd.append(run)
+        new = set(cores)
+        new.update(tails)
+        for cut in cuts:
+            new.update(cut.split(" "))
+        new.discard("")
+        self._learn_words(list(new.difference(self.words)))
+        get, known = self.words.__getitem__, self.known
+        self.words[""] = b""
+        for run, core, tail in zip(simple, cores, tails):
+            known[run] = get(core) + get(tail)
+        for run, cut in zip(plain, cuts):
+            known[run] = b"".join(map(get, cut.split(" ")))
         whole = [r for r in odd if b"<|" not in r]
         for at in range(0, len(whole), 1024):
             some = whole[at:at + 1024]
