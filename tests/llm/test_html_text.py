@@ -36,6 +36,20 @@ def test_misnesting_and_depth():
     assert page_text("<table><tr><td>" * 300 + "deep") == "deep"
 
 
+def test_bogus_markup_ends_where_browsers_end_it():
+    for markup in ("<![endif]-->", "<![endif]>", "<![CDATA[x]>", "<![CDATA[x]]>", "<![foo]>", "<![ x ]>", "<![", "<!x>", "<!>", "<!doctype x [<!x>"):
+        markup += "" if markup.endswith(">") else ">"
+        assert page_text(f"<p>a</p>{markup}<p>b") == "a\n\nb", markup
+    assert page_text("<p>a</p><![endif]--><p>b</p>c ]> d") == "a\n\nb\n\nc ]> d"
+    for markup in ("<!-->", "<!--->", "<!-- c --!>", "<!-- c -->", "<!---->", "<!-- > -- x -->", "<?x>", "</>", "</ >", "</1>"):
+        assert page_text(f"<p>a</p>{markup}<p>b") == "a\n\nb", markup
+    for markup in ("<script>x</script y>", "<style>x</style/>", "<script>x</scripty></SCRIPT\n>"):
+        assert page_text(f"<p>a</p>{markup}<p>b") == "a\n\nb", markup
+    for rest in ("<!-- b", "<!x b", "<![CDATA[ b", "<?b", "<i b", "</i b", "<script> b</script b", "<!"):
+        assert page_text(f"<p>a</p>{rest}") == "a", rest
+    assert page_text("a</") == "a</" and page_text("a<") == "a<" and page_text("a<script><!-- </script>b") == "ab"
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from("<p> </p> <ul> <li> </ul> <table> <tr> <td> </table> <div> </div> <b> </b> <br> <script> </script> x y <!-- --> < > & <pre> </pre> <td colspan=3> <ol start=-2> <dd> <select> <option>".split()), max_size=40))
 def test_any_soup_is_read(tags):

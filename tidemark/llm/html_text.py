@@ -48,6 +48,7 @@ ENDS = {
 SCOPE = {"table", "td", "th", "caption", "button", "html", "template"}  # a closer does not reach past these
 HEAD = set("head title meta link base script style template noscript".split())
 SPACE = re.compile(r"[ \t\n\r\f]+")
+COMMENT_END = re.compile(r"--!?>")
 INLINE_STYLE = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)")
 
 
@@ -135,6 +136,30 @@ class TreeBuilder(HTMLParser):
         else:  # inline elements do not close the blocks opened in them
             self._end({tag}, BLOCKS)
 
+    def parse_comment(self, i, report=1):
+        """``<!-->`` and ``<!--->`` are whole; else up to ``-->`` or ``--!>``, or all the rest."""
+        for whole in ("<!-->", "<!--->"):
+            if self.rawdata.startswith(whole, i):
+                return i + len(whole)
+        end = COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_html_declaration(self, i):
+        """Doctypes, ``<![...`` and other declarations end at the first ``>``."""
+        return self.rawdata.find(">", i) + 1 or len(self.rawdata)
+
+    def set_cdata_mode(self, elem):
+        self.cdata_elem = elem
+        self.interesting = re.compile(rf"</{elem}(?=[ \t\n\r\f/>])", re.I)
+
+    def parse_endtag(self, i):
+        if not self.cdata_elem:
+            return super().parse_endtag(i)
+        elem, end = self.cdata_elem, self.rawdata.find(">", i)  # script and style also end at a closer with attributes
+        self.clear_cdata_mode()
+        self.handle_endtag(elem)
+        return end + 1 or len(self.rawdata)
+
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
             self._end({"head"}, set())
@@ -379,7 +404,7 @@ def page_text(html: str | None) -> str:
         return ""
     builder = TreeBuilder()
     builder.feed(html)
-    if re.match("<[!?/a-zA-Z]", builder.rawdata):  # a comment or tag that never ends
+    if re.match("<([?a-zA-Z]|/.)", builder.rawdata, re.S):  # a tag that never ends; the page is fed whole
         builder.rawdata = ""
     builder.close()
     return "\n".join(render(builder.root))
