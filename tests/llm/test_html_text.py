@@ -50,6 +50,28 @@ def test_bogus_markup_ends_where_browsers_end_it():
     assert page_text("a</") == "a</" and page_text("a<") == "a<" and page_text("a<script><!-- </script>b") == "ab"
 
 
+def test_style_declarations():
+    for style in ("backface-visibility: hidden", "-webkit-backface-visibility:hidden", "display:none;display:block", "visibility:hidden; VISIBILITY : Visible",
+                  "display:none;display:block!important;display:none", "background:url(x;display:none)", "content:';display:none;'", "/* ; display:none; */color:red", "display:nothing", "x-display:none", "--display:none"):
+        assert page_text(f'<p style="{style}">a') == "a", style
+    for style in ("display:none", "display : NONE", "display:block;display:none", "display:none;display:nothing", "display:none !important;display:block", "color:red;;display:none;", "backface-visibility:visible;visibility:hidden", "/**/display:/**/none", "visibility:collapse", "visibility:visible;visibility:hidden"):
+        assert page_text(f'<p style="{style}">a') == "", style
+
+
+def test_formulas_drawings_and_maps():
+    assert page_text("x <math><mi>y</mi><mo>=</mo><mfrac><mn>1</mn> <mn>2</mn></mfrac></math> z") == "x y=1 2 z"
+    assert page_text("<math><semantics><mi>y</mi><annotation>tex</annotation><annotation-xml><mi>w</mi></annotation-xml></semantics><mphantom><mi>q</mi></mphantom></math>") == "y"
+    assert page_text("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr><mtr><mtd>3</mtd><mtd>4</mtd></mtr></mtable></math>k") == "1 2\n3 4\nk"
+    page = """<svg><title>t</title><desc>d</desc><metadata>m</metadata><defs><text>s</text></defs><path d="M0"/><desc/><style>p{}</style>
+    <text>A<tspan x="1">B</tspan><tspan>C</tspan></text><g><text>D<![CDATA[ > E]]></text></g><text display="none">F</text>
+    <foreignObject><p>G<br/>H</p></foreignObject></svg>I"""
+    assert page_text(page) == "A\nBC\nD > E\n\nG\nH\n\nI"
+    assert page_text("<p>a<svg><g><text>b<p>c") == "a\nb\n\nc" and page_text("<div><svg><text>a</div>b") == "a\nb"
+    assert page_text("<svg><title><b>t</b></title></svg><svg/>a<math/>b<![CDATA[c]]>d") == "abd"
+    assert page_text("<map name=m><p>a<area href=x>b</p></map>c").split() == ["ab", "c"]
+    assert page_text("<p>a<svg><foreignObject><div>b</div></foreignObject></svg>c</p>d").split() == ["a", "b", "c", "d"]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from("<p> </p> <ul> <li> </ul> <table> <tr> <td> </table> <div> </div> <b> </b> <br> <script> </script> x y <!-- --> < > & <pre> </pre> <td colspan=3> <ol start=-2> <dd> <select> <option>".split()), max_size=40))
 def test_any_soup_is_read(tags):

@@ -11,6 +11,10 @@ then text: all that a reader would see, block by block.
 * List items carry a bullet or their number and are indented below it.
 * Table cells are aligned in columns parted by two spaces and a bar; spans are
   kept, cells may hold several lines.
+* Formulas (MathML) stand in the line, a fraction's parts and a matrix's cells
+  apart, matrix rows on lines; each ``text`` of a drawing (SVG) has its own line.
+  Their titles, definitions and annotations are hidden; text that a drawing
+  repeats by ``use`` is not looked up.
 
 Both steps walk iteratively, so deep nesting needs no deep stack.
 """
@@ -30,7 +34,7 @@ from tidemark.llm._shared import table
 
 # Fixed values of HTML: elements by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("head script style template noscript title meta link base iframe object audio video canvas svg math datalist map noembed noframes frameset".split())
+SILENT = set("head script style template noscript title meta link base iframe object audio video canvas datalist noembed noframes frameset".split())
 APART = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr menu fieldset".split())
 BLOCKS = APART | set("html body div section article aside header footer nav main address li dt dd form details summary figcaption legend center dir search hgroup optgroup option select textarea caption tr td th thead tbody tfoot dialog".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul summary".split())
@@ -46,17 +50,29 @@ ENDS = {
     "option": ({"option"}, {"select", "datalist", "optgroup"}), "optgroup": ({"option", "optgroup"}, {"select"}),
 }
 SCOPE = {"table", "td", "th", "caption", "button", "html", "template"}  # a closer does not reach past these
+# Elements of drawings and formulas carry their namespace before the tag: "svg text", "math mi".
+FOREIGN_SILENT = {f"svg {t}" for t in "title desc defs metadata symbol clippath mask marker pattern lineargradient radialgradient filter script style".split()}
+FOREIGN_SILENT |= {f"math {t}" for t in "annotation annotation-xml script style none mprescripts".split()}
+HOLDS_HTML = {"svg foreignobject", "svg desc", "svg title", "math mi", "math mo", "math mn", "math ms", "math mtext"}
+SCOPE |= HOLDS_HTML | {"math annotation-xml"}
+LEAVES_FOREIGN = set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 HEAD = set("head title meta link base script style template noscript".split())
 SPACE = re.compile(r"[ \t\n\r\f]+")
 COMMENT_END = re.compile(r"--!?>")
-INLINE_STYLE = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)")
+STYLE_TOKEN = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:\\.|[^"\\])*"?|'(?:\\.|[^'\\])*'?|\([^)]*\)?|;|[^;"'(/]+|/""", re.S)
+GLOBAL = set("inherit initial unset revert revert-layer".split())
+VALUES = {  # a declaration with another value does not count
+    "display": GLOBAL | set("none contents block inline inline-block flow flow-root flex inline-flex grid inline-grid table inline-table list-item ruby ruby-base ruby-text table-row table-cell table-column table-caption table-row-group table-header-group table-footer-group table-column-group run-in math -webkit-box -webkit-inline-box -webkit-flex -webkit-inline-flex".split()),
+    "visibility": GLOBAL | {"visible", "hidden", "collapse"},
+}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "inside")
 
-    def __init__(self, tag: str, attrs: dict | None = None):
+    def __init__(self, tag: str, attrs: dict | None = None, inside: str = ""):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
+        self.inside = inside  # namespace of its children, "" for HTML
 
 
 class TreeBuilder(HTMLParser):
@@ -81,6 +97,18 @@ class TreeBuilder(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         attrs = {k: v or "" for k, v in attrs}
+        if tag in LEAVES_FOREIGN or tag == "font" and attrs.keys() & {"color", "face", "size"}:
+            self._leave_foreign()
+        space = self.open[-1].inside or (tag if tag in ("svg", "math") else "")
+        if self.open[-1].tag in HOLDS_HTML and tag in ("mglyph", "malignmark"):
+            space = "math"
+        if space:
+            if not self.open[-1].inside:
+                self._end({"head"}, {"body"})
+            name = f"{space} {tag}"
+            html = name in HOLDS_HTML or name == "math annotation-xml" and attrs.get("encoding", "").lower() in ("text/html", "application/xhtml+xml")
+            self._push(Node(name, attrs, "" if html else space))
+            return
         if tag in ("html", "body"):
             self._end({"head"}, set())
             if tag == "html" or self.count["body"]:
@@ -121,11 +149,30 @@ class TreeBuilder(HTMLParser):
         self.open.append(node)
         self.count[node.tag] += 1
 
+    def _leave_foreign(self) -> None:
+        while self.open[-1].inside:
+            self.count[self.open.pop().tag] -= 1
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        last = self.open[-1]
+        if " " in last.tag and last.tag.split(" ")[1] == tag and not last.children:  # only drawings and formulas have empty-element tags
+            self.count[self.open.pop().tag] -= 1
 
     def handle_endtag(self, tag):
-        if tag == "br":
+        if tag in ("br", "p"):
+            self._leave_foreign()
+        for i in range(len(self.open) - 1, 0, -1):
+            space, _, name = self.open[i].tag.partition(" ")
+            if not name:
+                break
+            if name == tag:
+                self.count.subtract(n.tag for n in self.open[i:])
+                del self.open[i:]
+                return
+        if tag in ("svg", "math"):  # from HTML inside it
+            self._end({f"{tag} {tag}"}, BLOCKS | SCOPE)
+        elif tag == "br":
             self.open[-1].children.append(Node("br"))
         elif tag in ("html", "body") or tag in VOID:
             return
@@ -145,7 +192,12 @@ class TreeBuilder(HTMLParser):
         return end.end() if end else len(self.rawdata)
 
     def parse_html_declaration(self, i):
-        """Doctypes, ``<![...`` and other declarations end at the first ``>``."""
+        """Doctypes, ``<![...`` and other declarations end at the first ``>``; only
+        drawings and formulas have CDATA sections, which are text up to ``]]>``."""
+        if " " in self.open[-1].tag and self.rawdata.startswith("<![CDATA[", i):
+            end = self.rawdata.find("]]>", i)
+            self.handle_data(self.rawdata[i + 9:end if end >= 0 else None])
+            return end + 3 if end >= 0 else len(self.rawdata)
         return self.rawdata.find(">", i) + 1 or len(self.rawdata)
 
     def set_cdata_mode(self, elem):
@@ -288,19 +340,70 @@ def span(node: Node, name: str) -> int:
     return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() else 1
 
 
+def inline_style(style: str) -> dict[str, str]:
+    """``display`` and ``visibility`` as a style attribute sets them: the last valid
+    declaration of the very property counts, an important one before others."""
+    style = style.lower()
+    if "display" not in style and "visibility" not in style:
+        return {}
+    out: dict[str, tuple[bool, str]] = {}
+    declaration = ""
+    for token in [*STYLE_TOKEN.findall(style), ";"]:
+        if token != ";":
+            declaration += " " if token.startswith("/*") else token
+            continue
+        prop, _, value = declaration.partition(":")
+        prop, declaration = prop.strip(), ""
+        if prop in VALUES:
+            value, mark, rest = value.partition("!")
+            words = value.split()
+            important = bool(mark) and rest.strip() == "important"
+            if not words or mark and not important or not VALUES[prop].issuperset(words) or len(words) > 1 and (prop == "visibility" or GLOBAL & set(words) or "none" in words):
+                continue
+            if important or not out.get(prop, (False,))[0]:
+                out[prop] = important, " ".join(words)
+    return {k: v for k, (_, v) in out.items()}
+
+
 def visibility(node: Node, shown: bool) -> tuple[bool, bool]:
     """(rendered at all, text shown) of an element inside text that is ``shown``."""
     a = node.attrs
-    if node.tag in SILENT or ("hidden" in a and a["hidden"].lower() != "until-found") or (node.tag == "input" and a.get("type", "").lower() == "hidden") or (node.tag == "dialog" and "open" not in a):
+    if node.tag in SILENT or node.tag in FOREIGN_SILENT:
+        return False, False
+    if " " not in node.tag and (("hidden" in a and a["hidden"].lower() != "until-found") or (node.tag == "input" and a.get("type", "").lower() == "hidden") or (node.tag == "dialog" and "open" not in a)):
         return False, False
-    for prop, value in INLINE_STYLE.findall(a.get("style", "").lower()) if "style" in a else ():
-        if prop == "display" and value == "none":
-            return False, False
-        if prop == "visibility":
-            shown = value not in ("hidden", "collapse")
+    if node.tag == "math mphantom":
+        shown = False
+    style = inline_style(a["style"]) if "style" in a else {}
+    if node.tag.startswith("svg "):  # there both are attributes too
+        style = inline_style(";".join(f"{k}:{a[k]}" for k in ("display", "visibility") if k in a)) | style
+    if style.get("display") == "none":
+        return False, False
+    if style.get("visibility", "inherit") in ("visible", "initial", "hidden", "collapse"):
+        shown = style["visibility"] in ("visible", "initial")
     return True, shown
 
 
+def foreign(node: Node, shown: bool, flow: Flow) -> list:
+    """What to render of an element of a drawing or formula, in order."""
+    tag, children, leave = node.tag, node.children, []
+    if tag in ("svg text", "svg foreignobject") or tag == "svg tspan" and node.attrs.keys() & {"x", "y"} or tag == "math math" and node.attrs.get("display", "").lower() == "block":
+        flow.block(False)
+        if tag != "svg tspan":
+            leave.append(lambda: flow.block(False))
+    elif tag in ("math mtable", "math mtr", "math mlabeledtr"):
+        flow.block(False)
+        leave.append(lambda: flow.block(False))
+    elif tag in ("math semantics", "math maction"):  # alternatives: the first is seen
+        children = [c for c in children if isinstance(c, Node)][:1]
+    elif tag.startswith("svg ") and tag.split(" ")[1] not in ("tspan", "textpath", "a"):  # text outside of a text element is not drawn
+        children = [c for c in children if isinstance(c, Node)]
+    items = [(c, shown, False) for c in children]
+    if tag in ("math mfrac", "math mtr", "math mlabeledtr"):
+        items = [x for c in items if not isinstance(c[0], str) for x in ((" ", shown, False), c)][1:]
+    return items + leave
+
+
 def render(root: Node) -> list[str]:
     """Lines of the visible text below ``root``."""
     flows, grids, lists = [Flow()], [], []
@@ -320,6 +423,9 @@ def render(root: Node) -> list[str]:
         if not rendered:
             continue
         tag, children = node.tag, node.children
+        if " " in tag:
+            todo += reversed(foreign(node, shown, flow))
+            continue
         if tag == "br":
             flow.line(hard=True)
             continue
