@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, langid, mixing, simhash, token_ids
-from tidemark.llm._shared import save, table
+from tidemark.llm._shared import save, shared_dir, table
 
 SHINGLE, MAX_BITS = 4, 4
 TOKENIZER = "word_bpe_49k.json"
@@ -27,11 +27,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates.
 
-    Rows repeated with one doc_id are one document and stay together; rows without
-    a doc_id stay."""
-    found = simhash.near_duplicates(docs, SHINGLE, MAX_BITS)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    A document is a doc_id with a text (its hash), so each text of an id that stands
+    on several is decided on its own; equal rows are one document and stay together.
+    Rows without a doc_id come after all ids; a group of such rows alone keeps one."""
+    shared_dir(spark)
+    rows = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = save(simhash.fingerprints(rows, SHINGLE, ("doc_id", "_key")), "simhash-rows")
+    kept = simhash.classes(found, F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_key"), MAX_BITS)
+    stays = (F.col("_key") == F.col("first._key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    gone = found.join(kept, "fp").where(~stays).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_gone")).distinct()
+    left = rows.join(gone, (F.col("_key") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    named = left.where(F.col("doc_id").isNotNull()).select(docs.columns)
+    nameless = left.where(F.col("doc_id").isNull()).groupBy("_key", "text").agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    return named.union(nameless.select("_row.*"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

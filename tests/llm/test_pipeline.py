@@ -64,6 +64,14 @@ def test_run_equals_the_stages(spark, written):
     assert sorted(map(tuple, pipeline.run(spark, SF_SMALL).collect())) == sorted(map(tuple, written[-1].collect()))
 
 
+def test_near_duplicates_by_row(spark):
+    x, y, z, w = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyzw")
+    data = [(5, x, "a"), (5, y, "b"), (9, x, "c"), (3, y, "d"), (7, z, "e"), (7, z, "e"), (None, z, "f"), (None, w, "g"), (None, w, "g"), (None, w, "g")]
+    docs = spark.createDataFrame([(d, t, "en", s, 1) for d, t, s in data], SCHEMA)
+    got = [(r.doc_id, r.text, r.source) for r in pipeline.near_duplicates(spark, docs, SF_SMALL).collect()]
+    assert sorted(got, key=str) == sorted([(5, x, "a"), (3, y, "d"), (7, z, "e"), (7, z, "e"), (None, w, "g")], key=str)
+
+
 def test_odd_rows_and_empty_input(spark):
     for data in (rows(), []):
         docs = widened(spark.createDataFrame(data, SCHEMA))

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm._shared import save, shared_dir, table
@@ -52,18 +52,18 @@ def fingerprint(text: str | None, shingle: int = 4, block: int = 1 << 16) -> int
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 4, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long.
 
     A null or wordless text has fingerprint 0; fewer words than ``shingle`` count
-    as one shingle.  Other columns of ``docs`` are not read."""
+    as one shingle.  Columns of ``docs`` other than the (integral) ``keys`` are not read."""
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(fp.view(np.int64))], [*keys, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(*[F.col(k).cast("long").alias(k) for k in keys], "text").mapInArrow(run, ", ".join(f"{k} long" for k in (*keys, "fp")))
 
 
 # --- vantage-point trees --------------------------------------------------
@@ -231,6 +231,16 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(join, "u long, v long")
 
 
+def classes(fp: DataFrame, first: Column, max_bits: int = 4) -> DataFrame:
+    """(fp, first) per distinct fp of ``fp``: the smallest ``first`` of all rows whose
+    fingerprint is reachable over links."""
+    reps = fp.groupBy("fp").agg(F.min(first).alias("rep")).checkpoint()
+    roots = components(links(reps.select("fp"), max_bits))
+    member = reps.join(roots, reps["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    least = member.groupBy("root").agg(F.min("rep").alias("first"))
+    return member.join(least, "root").select("fp", "first")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """(doc_id, fp, component_id) per row of ``docs``.
 
@@ -241,12 +251,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     """
     shared_dir(docs.sparkSession)
     fp = save(fingerprints(docs, shingle), "simhash-fp")
-    reps = fp.groupBy("fp").agg(F.min("doc_id").alias("rep")).checkpoint()
-    roots = components(links(reps.select("fp"), max_bits))
-    member = reps.join(roots, reps["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    ids = member.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = member.join(ids, "root").select("fp", "component_id")
-    return fp.join(classes, "fp").select("doc_id", "fp", "component_id")
+    found = fp.join(classes(fp, F.col("doc_id"), max_bits), "fp")
+    return found.select("doc_id", "fp", F.col("first").alias("component_id"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
