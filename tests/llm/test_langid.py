@@ -41,6 +41,29 @@ def test_held_out_accuracy(spark):
     assert kept.columns == docs.columns and kept.count() >= 0.99 * docs.count()
 
 
+def test_excerpts_cover_whole_texts(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["", "é" * 2048, "".join(f"{i:06d}é" for i in range(1000)), "".join(f"{i:07d} " for i in range(9000)), "x" * 4097]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[2])], "doc_id long, text string")
+    for r in docs.select("doc_id", "text", langid.excerpt(F.col("doc_id"), F.col("text")).alias("pieces")).collect():
+        data, pieces = r.text.encode(), [bytes(p) for p in r.pieces]
+        if len(data) <= langid.EXCERPT:
+            assert pieces == [data]
+            continue
+        assert len(pieces) * langid.SPAN == langid.EXCERPT and {len(p) for p in pieces} == {langid.SPAN}
+        for i, p in enumerate(pieces):  # each from its own part of the text
+            assert p in data[len(data) * i // 64:-(-len(data) * (i + 1) // 64)]
+
+
+def test_long_texts_are_learnt_beyond_their_heads(spark):
+    head = "0123456789 " * 600
+    data = [(i, head + w * 2000, lang, "s", 1) for i in range(40) for lang, w in (("aa", "abba baab "), ("bb", "uxxu xuux "))]
+    model = langid.train(documents(spark, data), per_lang=8, steps=60)
+    p = model.predict([langid.as_bytes("abba baab " * 20), langid.as_bytes("uxxu xuux " * 20)])
+    assert p[0, 0] > 0.8 and p[1, 1] > 0.8
+
+
 def test_edge_cases(spark):
     docs = documents(spark)
     model = langid.train(docs, per_lang=4, steps=3)

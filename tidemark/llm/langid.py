@@ -14,13 +14,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm._shared import fold, table
 
 PER_LANG = 256   # training documents a language, at most
-EXCERPT = 4096   # bytes of a training document, at most
+EXCERPT = 4096   # bytes of a training document, at most; of a longer one, spans over its whole text
 HIDDEN = 8       # units a direction
 SPAN = 64        # bytes of a training window
 WINDOW = 128     # bytes of a window when predicting
@@ -123,7 +123,8 @@ class ByteGRU:
         return g, loss
 
     def fit(self, texts: list[np.ndarray], labels: list[int], steps: int = STEPS, seed: int = 5) -> list[float]:
-        """Adam on random windows, the languages drawn equally often."""
+        """Adam on random windows, the languages drawn equally often.  A text is its
+        bytes, or an array (spans, ``SPAN``) of them."""
         rng = np.random.default_rng(seed)
         by = [[i for i, k in enumerate(labels) if k == lang] for lang in range(len(self.langs))]
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -134,6 +135,8 @@ class ByteGRU:
             x = np.full((BATCH, SPAN), 32, np.uint8)
             for row, lang in enumerate(label):
                 t = texts[by[lang][rng.integers(0, len(by[lang]))]]
+                if t.ndim == 2:
+                    t = t[rng.integers(0, len(t))]
                 at = rng.integers(0, max(1, len(t) - SPAN + 1))
                 x[row, :min(SPAN, len(t))] = t[at:at + SPAN]
             g, loss = self.gradients(x, label)
@@ -166,17 +169,32 @@ class ByteGRU:
         return total / np.maximum(size, 1)[:, None]
 
 
+def excerpt(doc_id: Column, text: Column) -> Column:
+    """The bytes of a text as one piece; of one longer than ``EXCERPT`` bytes as many
+    spans of ``SPAN`` bytes as make up that length, one at a hash-chosen position of
+    each of as many equal parts of the whole text."""
+    data, n = text.cast("binary"), F.octet_length(text).cast("long")
+    many = EXCERPT // SPAN
+
+    def span(i):
+        start, stop = F.floor(n * i / many), F.floor(n * (i + 1) / many)
+        at = start + F.pmod(F.xxhash64(F.lit(3), doc_id, i), stop - start - SPAN + 1)
+        return F.substring(data, (at + 1).cast("int"), F.lit(SPAN))
+
+    return F.when(n > EXCERPT, F.transform(F.sequence(F.lit(0), F.lit(many - 1)), span)).otherwise(F.array(data))
+
+
 def train(docs: DataFrame, per_lang: int = PER_LANG, steps: int = STEPS, hidden: int = HIDDEN) -> ByteGRU | None:
     """Fit on documents outside the held-out fold that have a label and a letter.
 
     The sample: a language's documents are dealt into ``per_lang`` buckets by a hash
     of their id, and each bucket gives its smallest; at most ``EXCERPT`` bytes of a
-    document are learnt from.  None if there is nothing to learn from."""
+    document are learnt from, of a longer one spans over its whole text.  None if there is nothing to learn from."""
     known = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT)).where(F.col("text").rlike(r"\p{L}"))
     rank = F.struct(F.xxhash64(F.lit(1), "doc_id"), "doc_id")
     chosen = (
         known.groupBy("lang", F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(per_lang)).alias("bucket"))
-        .agg(F.min_by(F.struct(F.col("doc_id"), F.substring("text", 1, EXCERPT).alias("text")), rank).alias("d"))
+        .agg(F.min_by(F.struct(F.col("doc_id"), excerpt(F.col("doc_id"), F.col("text")).alias("pieces")), rank).alias("d"))
         .select("lang", "d.*").collect()
     )
     if not chosen:
@@ -184,7 +202,8 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, steps: int = STEPS, hidden:
     chosen.sort(key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"] or 0))
     langs = sorted({r["lang"] for r in chosen})
     model = ByteGRU(langs, hidden)
-    model.fit([as_bytes(r["text"])[:EXCERPT] for r in chosen], [langs.index(r["lang"]) for r in chosen], steps)
+    pieces = [[FOLD[np.frombuffer(p, np.uint8)] for p in r["pieces"]] for r in chosen]
+    model.fit([p[0] if len(p) == 1 else np.stack(p) for p in pieces], [langs.index(r["lang"]) for r in chosen], steps)
     return model
 
 
