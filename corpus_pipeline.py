@@ -20,7 +20,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found; null texts, texts without a letter and
-    those below ``langid.REJECT_BELOW`` go."""
+    those in no learned language (``langid.accept``) go."""
     return langid.accept(docs, langid.train(docs))
 
 

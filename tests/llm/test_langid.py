@@ -64,6 +64,22 @@ def test_long_texts_are_learnt_beyond_their_heads(spark):
     assert p[0, 0] > 0.8 and p[1, 1] > 0.8
 
 
+def test_texts_in_no_learned_language_are_rejected(spark):
+    import random
+
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    model = langid.train(docs, steps=60)
+    rng = random.Random(1)
+    odd = ["Все люди рождаются свободными и равными в своем достоинстве", "人人生而自由,在尊严和权利上一律平等", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι", "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=400)), "qxzjvkw " * 30]
+    assert langid.accept(documents(spark, [(i, t, "en", "s", 1) for i, t in enumerate(odd)]), model).count() == 0
+    held = docs.where(langid.fold(docs["doc_id"], langid.FOLDS) == langid.HELD_OUT).where(docs["text"].rlike(r"\p{L}"))
+    assert langid.accept(held, model).count() >= 0.995 * held.count()
+    mixed = [(i, a.text + " " + b.text, "en", "s", 1) for i, (a, b) in enumerate(zip(held.where("lang = 'en'").limit(20).collect(), held.where("lang = 'de'").limit(20).collect()))]
+    assert langid.accept(documents(spark, mixed), model).count() == len(mixed)
+    one = langid.train(docs.where("lang = 'en'"), steps=5)
+    assert langid.accept(held.where("lang = 'en'"), one).count() >= 0.99 * held.where("lang = 'en'").count()
+
+
 def test_edge_cases(spark):
     docs = documents(spark)
     model = langid.train(docs, per_lang=4, steps=3)

@@ -29,7 +29,8 @@ STEPS = 300      # training steps
 BATCH = 192      # windows a training step
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
-REJECT_BELOW = 0.3  # the pipeline drops documents whose best language is less likely
+KNOWN_SHARE = 0.35  # bar of known letter runs, as a part of what training documents share with each other
+MARGIN = 0.02       # bar of the best probability over the uniform one, as a part of what is left to 1
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32  # A-Z read as a-z
@@ -39,6 +40,16 @@ def as_bytes(text: str) -> np.ndarray:
     return FOLD[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)]
 
 
+def runs(x: np.ndarray) -> np.ndarray:
+    """Numbers of all runs of three bytes that hold a letter (a-z or a byte beyond ASCII)."""
+    if len(x) < 3:
+        return np.empty(0, np.int64)
+    letter = ((x >= 97) & (x <= 122)) | (x >= 128)
+    some = letter[:-2] | letter[1:-1] | letter[2:]
+    y = x.astype(np.int64)
+    return ((y[:-2] << 16) | (y[1:-1] << 8) | y[2:])[some]
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     np.negative(x, out=x)
     np.exp(x, out=x)
@@ -53,6 +64,8 @@ class ByteGRU:
     def __init__(self, langs: list[str], hidden: int = HIDDEN, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.langs, self.hidden = langs, hidden
+        self.seen = np.zeros(1 << 21, np.uint8)  # bits of the letter runs of the training documents
+        self.bar = 0.0  # least share of a text's runs that must be among them
         self.p = {
             "e": rng.normal(0, 0.3, (2, 256, 3 * hidden)).astype(np.float32),
             "u": rng.normal(0, 1 / np.sqrt(hidden), (2, hidden, 3 * hidden)).astype(np.float32),
@@ -122,6 +135,22 @@ class ByteGRU:
             np.add.at(g["e"][1], x[:, t - 1 - i], da[1])
         return g, loss
 
+    def learn_runs(self, documents: list[list[np.ndarray]]) -> None:
+        """Note the runs of ``documents`` (pieces of bytes) and set the bar: ``KNOWN_SHARE`` of
+        the median over documents of the share of runs that stand in another one, too."""
+        found = [np.concatenate([runs(p) for p in pieces]) for pieces in documents]
+        count = np.zeros(1 << 24, np.int32)
+        for r in found:
+            count[np.unique(r)] += 1
+        self.seen = np.packbits(count > 0)
+        shares = [float((count[r] > 1).mean()) for r in found if len(r)]
+        self.bar = KNOWN_SHARE * float(np.median(shares)) if shares else 0.0
+
+    def known(self, texts: list[np.ndarray], seen: np.ndarray | None = None) -> np.ndarray:
+        """Share of each text's runs that training documents hold; 1 where it has none."""
+        seen = np.unpackbits(self.seen).view(bool) if seen is None else seen
+        return np.array([seen[r].mean() if len(r) else 1.0 for r in map(runs, texts)])
+
     def fit(self, texts: list[np.ndarray], labels: list[int], steps: int = STEPS, seed: int = 5) -> list[float]:
         """Adam on random windows, the languages drawn equally often.  A text is its
         bytes, or an array (spans, ``SPAN``) of them."""
@@ -203,6 +232,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, steps: int = STEPS, hidden:
     langs = sorted({r["lang"] for r in chosen})
     model = ByteGRU(langs, hidden)
     pieces = [[FOLD[np.frombuffer(p, np.uint8)] for p in r["pieces"]] for r in chosen]
+    model.learn_runs(pieces)
     model.fit([p[0] if len(p) == 1 else np.stack(p) for p in pieces], [langs.index(r["lang"]) for r in chosen], steps)
     return model
 
@@ -241,20 +271,28 @@ def identify(docs: DataFrame, model: ByteGRU | None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def accept(docs: DataFrame, model: ByteGRU | None, at_least: float = REJECT_BELOW) -> DataFrame:
-    """``docs``, same columns, without the documents whose language is unknown or
-    less likely than ``at_least``.  Without a model all texts with a letter stay."""
+def accept(docs: DataFrame, model: ByteGRU | None, at_least: float | None = None) -> DataFrame:
+    """``docs``, same columns, without the documents whose language is unknown: those
+    without a letter, those of whose runs of three bytes too few stand in training
+    documents (``bar``; the network is often sure of a script it never saw), and those
+    of which no language is likelier than chance by ``MARGIN``.  A given ``at_least`` is
+    the bar of the best probability and the only one.  Without a model all texts with a
+    letter stay."""
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if model is None:
         return docs.where(has_letter)
     names, schema = docs.columns, docs.schema
+    bar = model.bar if at_least is None else 0.0
+    chance = 1 / len(model.langs)
+    least = chance + MARGIN * (1 - chance) - 1e-6 if at_least is None else at_least
 
     def run(batches):
+        seen = np.unpackbits(model.seen).view(bool)
         for b in batches:
             keep, texts = [], b.column(names.index("text")).to_pylist()
             for at in range(0, len(texts), 512):
-                p = model.predict([as_bytes(t) for t in texts[at:at + 512]])
-                keep += (p.max(axis=1) >= at_least).tolist()
+                some = [as_bytes(t) for t in texts[at:at + 512]]
+                keep += ((model.predict(some).max(axis=1) >= least) & (model.known(some, seen) >= bar)).tolist()
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.where(has_letter).mapInArrow(run, schema)
