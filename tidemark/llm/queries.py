@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, html_text, langid, lm, mixing, simhash, token_counts, token_ids, warc
+from tidemark.llm import bpe_trie, decontaminate, exact_dedup, html_text, langid, lm, mixing, simhash, token_counts, token_ids, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_warc": warc.op10_warc,
+    "op11_bpe_trie": bpe_trie.op11_bpe_trie,
 }
 
 #: DuckDB SQL by query; the others are tested against brute force in tests/llm.
