@@ -56,6 +56,22 @@ def cut(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return units.dictionary_encode(), np.searchsorted(starts, off)
 
 
+def words(texts: pa.Array, apart: np.ndarray, swap: np.ndarray | None = None) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(words, first) like ``cut``: the maximal runs of bytes not in ``apart`` (256 flags),
+    each byte replaced by its entry in ``swap``."""
+    off, data = buffers(texts)
+    inner = ~apart[data]
+    start = inner.copy()
+    start[1:] &= ~inner[:-1]
+    at = off[:-1][np.diff(off) > 0]
+    start[at] = inner[at]
+    kept = data[inner] if swap is None else swap[data[inner]]
+    begin = np.flatnonzero(start[inner])
+    first = np.searchsorted(np.flatnonzero(start), off)
+    found = binaries(np.append(begin, len(kept)), kept) if len(begin) else pa.array([], pa.large_binary())
+    return found.dictionary_encode(), first
+
+
 def gather(flat: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slices ``flat[offsets[w]:offsets[w + 1]]`` one after another, for all ``which``;
     and where each begins in the result (one entry more than slices)."""
