@@ -110,7 +110,7 @@ def test_op_digests_and_edge_cases(spark, tmp_path):
         want.add((d, len(ids), hexed(np.array(ids, "<u4").tobytes()), hexed(TOK.decode(ids, skip_special_tokens=False).encode())))
     assert got == want
     docs = documents(spark)
-    assert same(bpe_trie.encode(docs, PATH), bpe_trie.encode(widened(docs), PATH))
+    assert same(bpe_trie.encode(docs, PATH, back=True), bpe_trie.decode(bpe_trie.encode(widened(docs), PATH), PATH))
     assert bpe_trie.decode(bpe_trie.encode(documents(spark, []), PATH), PATH).collect() == []
     broken = spark.createDataFrame([(1, bytearray(np.array([0x68, 220, 47490], "<u4").tobytes())), (2, None)], "doc_id long, ids binary")
     assert [r.text for r in bpe_trie.decode(broken, PATH).sort("doc_id").collect()] == [TOK.decode([0x68, 220, 47490], skip_special_tokens=False), ""]

@@ -34,7 +34,7 @@ from tidemark.llm._shared import table, worker_cache
 from tidemark.llm.units import binaries, buffers, cut, gather, packed, spans
 
 BLOCK = 1 << 22      # bytes of text handled at a time
-UNITS = 500_000      # distinct units whose ids a worker remembers
+UNITS = 400_000      # distinct units whose ids a worker remembers
 PAIRS = 1_000_000    # pairs of tokens whose verdict a worker remembers
 SHORT = 64           # bytes of the longest unit that is remembered
 NEVER = 1 << 30
@@ -254,22 +254,33 @@ def token_bytes(path: str) -> pa.Array:
     return pa.array([names.get(i, b"") for i in range(max(names) + 1)], pa.large_binary())
 
 
-def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, ids): the token ids of every whole text, 32 bits little-endian each.
+def texts_of(ids: np.ndarray, begin: np.ndarray, names: pa.Array) -> list[str]:
+    """The texts of ids that stand one after another: the tokens' bytes as UTF-8,
+    damaged sequences replaced."""
+    off, data = buffers(names)
+    out, at = gather(data, off, ids)
+    return [out[a:z].tobytes().decode("utf-8", "replace") for a, z in zip(at[begin[:-1]], at[begin[1:]])]
+
+
+def encode(docs: DataFrame, tokenizer: str, back: bool = False) -> DataFrame:
+    """(doc_id, ids): the token ids of every whole text, 32 bits little-endian each;
+    with ``back`` also ``text``, decoded from the ids in the same task.
 
     A null or empty text has no ids; null ids, repeated rows and extra columns are
     taken as they come (one row out per row in)."""
 
     def run(batches):
         enc = worker_cache(("trie", tokenizer), lambda: TrieEncoder(tokenizer))
+        names = worker_cache(("token bytes", tokenizer), lambda: token_bytes(tokenizer))
         for b in batches:
             for a, z in spans(b.column("text"), BLOCK):
                 ids, begin = enc.encode(b.column("text")[a:z])
                 data = binaries(4 * begin, ids.astype("<u4", copy=False).view(np.uint8)).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column("doc_id")[a:z], data], ["doc_id", "ids"])
+                text = [pa.array(texts_of(ids, begin, names), pa.string())] * back
+                yield pa.RecordBatch.from_arrays([b.column("doc_id")[a:z], data, *text], ["doc_id", "ids", *["text"] * back])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, ids binary" + ", text string" * back)
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -278,14 +289,11 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches):
         names = worker_cache(("token bytes", tokenizer), lambda: token_bytes(tokenizer))
-        name_off, name_data = buffers(names)
         for b in batches:
             for a, z in spans(b.column("ids"), BLOCK):
                 rows = b.slice(a, z - a)
                 off, data = buffers(rows.column("ids"))
-                ids = data.view("<u4")
-                out, begin = gather(name_data, name_off, ids)
-                texts = [out[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(begin[off[:-1] // 4], begin[off[1:] // 4])]
+                texts = texts_of(data.view("<u4"), off // 4, names)
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
@@ -294,8 +302,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 def op11_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    both = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), back=True)
     return both.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe_trie, decontaminate, exact_dedup, html_text, langid, lexical, lm, mixing, simhash, token_counts, token_ids, warc
+from tidemark.llm import alignment, bpe_trie, decontaminate, exact_dedup, html_text, langid, lexical, lm, mixing, simhash, token_counts, token_ids, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_warc": warc.op10_warc,
     "op11_bpe_trie": bpe_trie.op11_bpe_trie,
+    "op12_alignment": alignment.op12_alignment,
     "op13_lexical_search": lexical.op13_lexical_search,
 }
 
@@ -24,5 +25,6 @@ ORACLE: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.SQL,
     "op8_decontaminate": decontaminate.SQL,
     "op10_warc": warc.SQL,
+    "op12_alignment": alignment.op12_alignment,
     "op13_lexical_search": lexical.SQL,
 }
