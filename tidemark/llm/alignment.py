@@ -39,7 +39,7 @@ from tidemark.llm._shared import save, shared_dir, table, worker_cache
 from tidemark.llm.bpe_trie import token_bytes
 from tidemark.llm.units import binaries, buffers, cut, gather, spans
 
-BLOCK = 1 << 22      # bytes of text of a block of documents
+BLOCK = 1 << 23      # bytes of text of a block of documents
 PARTS = 32           # radixes
 SLICE = 32 << 20     # bytes of runs that a task holds
 JOINT = 1 << 16      # bytes of units encoded in one call
@@ -99,7 +99,7 @@ class Sides:
         a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         # the piece model puts a space before each text, but for empty ones
         b = [ids or [self.b.piece_to_id(SPACE)] for ids in self.b.encode([t[1:] for t in texts], num_threads=1)]
-        return tuple(np.fromiter((i for ids in side for i in ids), np.int64) for side in (a, b))
+        return tuple(np.concatenate([np.array(ids, np.int64) for ids in side]) for side in (a, b))
 
     def _same(self, a: np.ndarray, b: np.ndarray, data: bytes) -> bool:
         return all(gather(flat, off, ids)[0].tobytes() == data for (off, flat), ids in ((self.a_bytes, a), (self.b_bytes, b)))
@@ -146,7 +146,7 @@ class Sides:
         sizes = np.fromiter(map(len, units), np.int64, len(units))
         ends_a = np.cumsum(np.diff(self.a_bytes[0])[a])
         ends_b = np.cumsum(np.diff(self.b_bytes[0])[b])
-        ends = np.intersect1d(ends_a, ends_b, assume_unique=False)
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b)
         unit = np.searchsorted(np.cumsum(sizes[order]), ends)  # of each group
         n, groups = len(units), len(ends)
@@ -222,7 +222,7 @@ def block_rows(sides: Sides, ids: pa.Array, texts: pa.Array, block: int) -> Iter
     pair, doc = key // rows, key % rows
     part = (pair >> 16) % PARTS
     empty = [pa.array([None], pa.list_(pa.int64()))] * 5 + [pa.array([None], pa.list_(pa.string()))]
-    for p in np.unique(part).tolist():
+    for p in np.flatnonzero(np.bincount(part, minlength=1)).tolist():
         mine = part == p
         heads, posts = pack_run(pair[mine], doc[mine], links[mine])
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([p], pa.int32()), pa.array([heads], pa.binary()), pa.array([posts], pa.binary()), *empty], NAMES)
