@@ -48,9 +48,14 @@ def growth(daily: DataFrame, key: str = "language", time: str = "snapshot_date")
     )
 
 
-def language_trends(stg: DataFrame) -> DataFrame:
+def trends_from_daily(daily: DataFrame) -> DataFrame:
     """Trends mart (12 columns): daily rollup plus growth."""
-    return growth(language_daily(stg)).select(*TRENDS_COLUMNS)
+    return growth(daily).select(*TRENDS_COLUMNS)
+
+
+def language_trends(stg: DataFrame) -> DataFrame:
+    """The trends mart straight from the staged rows."""
+    return trends_from_daily(language_daily(stg))
 
 
 def trends_order():
