@@ -108,10 +108,17 @@ def test_edge_cases(spark):
     assert lexical.search(documents(spark, [(1, None, None, None, None), (2, "", "", "", 0)]), items).collect() == []
 
 
-def test_equals_sql(spark, tmp_path):
+def test_numbered_items(spark):
+    items = spark.createDataFrame([(7, "the erst"), (None, "haing on")], "item_id long, text string")
+    assert got(lexical.search(documents(spark), items)) == brute([r[:2] for r in rows()], [(7, "the erst"), (None, "haing on")])
+
+
+@pytest.mark.parametrize("kind", ["string", "long"])
+def test_equals_sql(spark, tmp_path, kind):
     data = [r for r in rows(200, 3) if "\x00" not in (r[1] or "")]
     documents(spark, data).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame(ITEMS, ITEM).coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    items = ITEMS if kind == "string" else [(i, t) for i, (_, t) in enumerate(ITEMS)]
+    spark.createDataFrame(items, ITEM.replace("string", kind, 1)).coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
     con = duckdb.connect()
     for name in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")

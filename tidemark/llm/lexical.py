@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm._shared import lower_ascii, save, shared_dir, table
 from tidemark.llm.units import spans, words
@@ -182,8 +183,9 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, slots: int = SLOTS) ->
     repeated items.  Items without terms, or an empty table, yield no rows."""
     spark = docs.sparkSession
     shared_dir(spark)
-    schema = "item int, item_id string, doc_id long, score long"
-    out = spark.createDataFrame([], "item_id string, rank int, doc_id long, score long")
+    kind = items.schema["item_id"].dataType
+    schema = f"item int, item_id {kind.simpleString()}, doc_id long, score long"
+    out = spark.createDataFrame([], f"item_id {kind.simpleString()}, rank int, doc_id long, score long")
     for ids, terms in passes(items, slots):
         vocabulary = sorted({t for ts in terms for t in ts})
         number = {t: i for i, t in enumerate(vocabulary)}
@@ -210,7 +212,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, slots: int = SLOTS) ->
                 n = len(top.score)
                 if n:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([i] * n, pa.int32()), pa.array([ids[i]] * n, pa.string()), pa.array(top.ids, mask=top.null), pa.array(top.score)],
+                        [pa.array([i] * n, pa.int32()), pa.array([ids[i]] * n, to_arrow_type(kind)), pa.array(top.ids, mask=top.null), pa.array(top.score)],
                         ["item", "item_id", "doc_id", "score"],
                     )
 
