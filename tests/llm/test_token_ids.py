@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -71,5 +72,18 @@ def test_more_words_than_the_cache(monkeypatch):
     tok = Tokenizer.from_file(PATH)
     enc = token_ids.WordEncoder(PATH)
     many = [" ".join(f"w{i}x{j}" for j in range(70)) for i in range(3)] + ["short one", None]
-    for t, ids in zip(many, enc.encode(many)):
-        assert np.frombuffer(ids, "<u2").tolist() == tok.encode(t or "", add_special_tokens=False).ids
+    ids, begin = enc.encode(pa.array(many))
+    for t, a, z in zip(many, begin, begin[1:]):
+        assert ids[a:z].tolist() == tok.encode(t or "", add_special_tokens=False).ids
+
+
+TOK = Tokenizer.from_file(PATH)
+PLAIN_ENC = token_ids.WordEncoder(PATH)
+ODD = ["<|endoftext|>", "<|", "'s", "don't", "ÀÉß", "×÷", "ÿÞ", "ñ", "É", "a1b22", "...", "$$%", "\u0130", "\xa0", "\x7f", "\x1c", "世", " ", "\n", "Ab"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.one_of(st.sampled_from(ODD), st.text(max_size=3)), max_size=10).map("".join)), max_size=5))
+def test_pieces_give_the_same_ids(texts):
+    ids, begin = PLAIN_ENC.encode(pa.array(texts, pa.string()))
+    assert [ids[a:z].tolist() for a, z in zip(begin, begin[1:])] == [TOK.encode(t or "", add_special_tokens=False).ids for t in texts]

@@ -25,12 +25,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm._shared import new_folder, save, shared_dir, table, worker_cache
+from tidemark.llm.units import binaries, buffers, gather, packed, spans
 
 END = 2                 # id appended to every document
 BLOCK = 1 << 22         # ids after which a block is closed
 RANK = 512              # high bits per entry of the select directory
-CACHE = 500_000         # distinct words whose ids a worker remembers
+CACHE = 800_000         # distinct pieces whose ids a worker remembers
+SPAN = 1 << 22          # bytes of text encoded at a time
 SENTINEL = "<|endoftext|>"
+# Classes of bytes: white space, letter, digit, other sign, and what needs a closer look.
+BLANK, LETTER, DIGIT, SIGN, ODD = range(5)
+CLASS = np.full(256, ODD, np.uint8)
+CLASS[0x21:0x7F] = SIGN
+CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+CLASS[0x30:0x3A] = DIGIT
+CLASS[[*range(0x09, 0x0E), 0x20]] = BLANK
+CLASS[0x27] = ODD       # an apostrophe may begin a word of its own
 # Fixed values of the tokenizer: how it cuts a lower-cased run into words.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
 CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
@@ -109,14 +119,14 @@ class EliasFano:
 HEAD = "<4sBBQQqQ"  # magic, version, id width, null ids, first offset in the partition, id base, ids
 
 
-def pack_block(ids: bytes, width: int, ends: list[int], doc_ids: list[int | None], first: int) -> bytes:
+def pack_block(ids: bytes, width: int, ends: np.ndarray, doc_ids: list[int | None], first: int) -> bytes:
     """One block; ``ends`` are the documents' end offsets in it, ids ascend, nulls first."""
     nulls = sum(d is None for d in doc_ids)
     known = np.array([d for d in doc_ids if d is not None], np.int64)
     base = int(known[0]) if len(known) else 0
     head = struct.pack(HEAD, b"TIDS", 1, width, nulls, first, base, len(ids) // width)
     delta = known.view(np.uint64) - np.array(base, np.int64).view(np.uint64)
-    return head + EliasFano.encode(np.array(ends, np.uint64)).to_bytes() + EliasFano.encode(delta).to_bytes() + ids
+    return head + EliasFano.encode(ends.astype(np.uint64)).to_bytes() + EliasFano.encode(delta).to_bytes() + ids
 
 
 class Block:
@@ -147,11 +157,49 @@ class Block:
         return [None] * self.nulls + (delta + np.array(self.base, np.int64).view(np.uint64)).view(np.int64).tolist()
 
 
+def pieces(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(pieces, first) like ``units.words``: the tokenizer's words, lower-cased, of runs in
+    the plain alphabet (ASCII and Latin-1 letters) without apostrophe or "<|"; other runs
+    as they are."""
+    off, data = buffers(texts)
+    if not len(data):
+        return pa.array([], pa.large_binary()).dictionary_encode(), np.zeros(len(off), np.int64)
+    kind = CLASS[data]
+    inner = kind != BLANK
+    before = np.concatenate(([np.uint8(0)], data[:-1]))
+    after = data[1:]
+    # Latin-1 letters are 0xC3 and a byte from 0x80 on, but for the signs 0x97 and 0xB7
+    tail = (before == 0xC3) & (data >= 0x80) & (data != 0x97) & (data != 0xB7)
+    kind[tail] = LETTER
+    kind[:-1][tail[1:]] = LETTER
+    kind[:-1][(data[:-1] == ord("<")) & (after == ord("|"))] = ODD
+    head = np.zeros(len(data), bool)
+    head[off[:-1][np.diff(off) > 0]] = True
+    start = inner.copy()
+    start[1:] &= ~inner[:-1]
+    start |= head & inner
+    plain = np.ones(len(data), bool)
+    odd = np.flatnonzero(kind == ODD)
+    if len(odd):
+        run = np.cumsum(start)
+        strange = np.zeros(int(run[-1]) + 1, bool)
+        strange[run[odd]] = True
+        plain = ~strange[run]
+    cut = start.copy()
+    cut[1:] |= plain[1:] & inner[1:] & (kind[1:] != kind[:-1])
+    cut |= plain & (kind == DIGIT)
+    upper = plain & (((data >= 0x41) & (data <= 0x5A)) | (tail & (data <= 0x9E)))
+    kept = np.where(upper, data + np.uint8(32), data)[inner]
+    begin = np.flatnonzero(cut[inner])
+    found = binaries(np.append(begin, len(kept)), kept) if len(begin) else pa.array([], pa.large_binary())
+    return found.dictionary_encode(), np.searchsorted(np.flatnonzero(cut), off)
+
+
 class WordEncoder:
     """Encodes texts with a word-end tokenizer that drops white space.
 
-    A run without white space never sees its neighbours, so its ids are remembered.
-    A new run in the plain alphabet (ASCII and Latin-1 letters, where normalisation
+    A run without white space never sees its neighbours, nor does a word in a plain run
+    (``pieces``), so their ids are remembered.  A new run in the plain alphabet (ASCII and Latin-1 letters, where normalisation
     is lower-casing) is cut into the tokenizer's own words; unknown words go to the
     tokenizer many at a time, each ending with its word-end piece.  Any other run is
     encoded as it is, parted by a special token."""
@@ -201,7 +249,7 @@ class WordEncoder:
                 cores.append(core.lower().decode())
                 tails.append(run[len(core):].decode())
                 continue
-            text = run.decode()
+            text = run.decode("utf-8", "replace")
             if PLAIN(text) and "<|" not in text:
                 plain.append(run)
                 cuts.append(" ".join(CUT(text.lower())))
@@ -222,39 +270,30 @@ class WordEncoder:
         whole = [r for r in odd if b"<|" not in r]
         for at in range(0, len(whole), 1024):
             some = whole[at:at + 1024]
-            ids = self._ids(SENTINEL.join(r.decode() for r in some))
+            ids = self._ids(SENTINEL.join(r.decode("utf-8", "replace") for r in some))
             cuts = np.flatnonzero(ids == self.part)
             for r, a, z in zip(some, np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(ids)]))):
                 self.known[r] = ids[a:z].tobytes()
         for r in odd:
             if b"<|" in r:
-                self.known[r] = self._ids(r.decode()).tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian ids of each text."""
-        words = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        seen = set().union(*words)
-        if len(seen) > CACHE:  # one very long text at a time, in parts
-            return [b"".join(self.encode_words(w[i:i + CACHE // 2]) for i in range(0, len(w), CACHE // 2)) for w in words]
-        self.learn(seen)
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
-
-    def encode_words(self, words: list[bytes]) -> bytes:
-        self.learn(set(words))
-        return b"".join(map(self.known.__getitem__, words))
-
-
-def groups(texts: list, size: int = 1 << 21):
-    """Consecutive slices of about ``size`` characters."""
-    at = total = 0
-    for i, t in enumerate(texts):
-        total += len(t or "")
-        if total >= size:
-            yield at, i + 1
-            at, total = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+                self.known[r] = self._ids(r.decode("utf-8", "replace")).tobytes()
+
+    def ids_of(self, runs: list[bytes]) -> list[bytes]:
+        """Little-endian ids of each of the distinct runs."""
+        out = []
+        for at in range(0, len(runs), CACHE // 2):
+            some = runs[at:at + CACHE // 2]
+            self.learn(set(some))
+            out += map(self.known.__getitem__, some)
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, begin): all texts' ids one after another and where each text's begin.
+        Only distinct pieces become Python objects; their ids are gathered by index."""
+        found, first = pieces(texts)
+        flat, offsets = packed(self.ids_of(found.dictionary.to_pylist()), f"<u{self.width}")
+        ids, begin = gather(flat, offsets, found.indices.to_numpy())
+        return ids, begin[first]
 
 
 def write_blocks(docs: DataFrame, tokenizer: str, end: int = END, path: str | None = None, block: int = BLOCK) -> str:
@@ -267,25 +306,32 @@ def write_blocks(docs: DataFrame, tokenizer: str, end: int = END, path: str | No
 
     def run(batches):
         enc = worker_cache(("words", tokenizer), lambda: WordEncoder(tokenizer))
-        stop = np.array([end], f"<u{enc.width}").tobytes()
         part, nth, first = TaskContext.get().partitionId(), 0, 0
         ids, ends, names, size = [], [], [], 0
 
         def close():
-            data = pack_block(b"".join(ids), enc.width, ends, names, first)
+            data = pack_block(b"".join(ids), enc.width, np.concatenate(ends), names, first)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([nth], pa.int32()), pa.array([size], pa.int64()), pa.array([data], pa.binary())],
                 ["part", "block", "n", "data"],
             )
 
         for b in batches:
-            texts, keys = b.column("text").to_pylist(), b.column("doc_id").to_pylist()
-            for x, y in groups(texts):
-                for key, got in zip(keys[x:y], enc.encode(texts[x:y])):
-                    ids += [got, stop]
-                    size += len(got) // enc.width + 1
-                    ends.append(size)
-                    names.append(key)
+            for x, y in spans(b.column("text"), SPAN):
+                got, begin = enc.encode(b.column("text")[x:y])
+                keys = b.column("doc_id")[x:y].to_pylist()
+                # the end id after each document's own
+                stops = begin[1:] + np.arange(1, len(begin))
+                flat = np.full(len(got) + len(keys), end, got.dtype)
+                flat[np.delete(np.arange(len(flat)), stops - 1)] = got
+                at = base = 0
+                while at < len(keys):
+                    to = min(len(keys), int(np.searchsorted(stops, base + block - size)) + 1)
+                    ids.append(flat[base:stops[to - 1]].tobytes())
+                    ends.append(stops[at:to] - base + size)
+                    names += keys[at:to]
+                    size += int(stops[to - 1]) - base
+                    at, base = to, int(stops[to - 1])
                     if size >= block:
                         yield close()
                         nth, first = nth + 1, first + size
