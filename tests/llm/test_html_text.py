@@ -85,3 +85,51 @@ def test_rows(spark):
     got = sorted(map(tuple, extract(pages).collect()), key=str)
     assert got == sorted([(1, "a\n\nb", 4, 3), (1, "a\n\nb", 4, 3), (2, "", 0, 0), (3, "", 0, 0), (None, "x", 1, 1)], key=str)
     assert extract(pages.limit(0)).collect() == []
+
+
+def test_numbers_of_any_length(spark):
+    long = "9" * 5000
+    html = [
+        f"<table><tr><td colspan={long}>a<td rowspan={long}>b<tr><td>c</table>", f"x&#{long};y", f"x&#x{long}y", "x&#" + "0" * 5000 + "65;y",
+        "x&#x" + "0" * 5000 + "41;y", "&#0abc &#00;", f"<p style='display:{long}'>z",
+    ]
+    got = extract(spark.createDataFrame(list(enumerate(html)), "page_id long, html string")).sort("page_id").collect()
+    texts = [r.text for r in got]
+    assert texts[1:5] == ["x\ufffdy", "x\ufffdy", "xAy", "xAy"] and texts[6] == "z"
+    assert "a" in texts[0] and "c" in texts[0]
+
+
+def test_large_spans_are_cheap():
+    import time
+    import tracemalloc
+
+    html = "<table>" + ("<tr>" + "<td colspan=1000 rowspan=1000>x" * 3) * 2 + "</table>"
+    tracemalloc.start()
+    began = time.process_time()
+    page_text(html)
+    assert time.process_time() - began < 3 and tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()
+
+
+spans_of = st.lists(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 5)), max_size=5), max_size=6)
+
+
+@settings(max_examples=200, deadline=None)
+@given(spans_of)
+def test_cells_are_placed_as_on_a_grid(rows):
+    """Against a grid with an entry for every covered cell."""
+    from tidemark.llm.html_text import Grid
+
+    grid = Grid()
+    grid.rows = [[(["x"], cols, n) for cols, n in row] for row in rows]
+    taken, want = set(), []
+    for r, row in enumerate(rows):
+        c = 0
+        for cols, n in row:
+            while (r, c) in taken:
+                c += 1
+            n = min(n or len(rows), len(rows) - r)
+            taken |= {(r + i, c + j) for i in range(1, n) for j in range(cols)}
+            want.append((r, c, cols, n))
+            c += cols
+    assert [x[:4] for x in grid.place()] == want

@@ -25,6 +25,7 @@ import re
 import unicodedata
 from collections import Counter
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,9 @@ SCOPE |= HOLDS_HTML | {"math annotation-xml"}
 LEAVES_FOREIGN = set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 HEAD = set("head title meta link base script style template noscript".split())
 SPACE = re.compile(r"[ \t\n\r\f]+")
+# Character numbers of more digits than any character has; int() refuses very long ones.
+LONG_NUMBER = re.compile(r"&#(?:[xX]0*[0-9a-fA-F]{7,}|0*[0-9]{8,});?")
+ZEROS = re.compile(r"(&#)0+(?=[0-9])|(&#[xX])0+(?=[0-9a-fA-F])")
 COMMENT_END = re.compile(r"--!?>")
 STYLE_TOKEN = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:\\.|[^"\\])*"?|'(?:\\.|[^'\\])*'?|\([^)]*\)?|;|[^;"'(/]+|/""", re.S)
 GLOBAL = set("inherit initial unset revert revert-layer".split())
@@ -292,18 +296,28 @@ class Grid:
         self.rows: list[list[tuple[list[str], int, int]]] = []
         self.captions: list[str] = []
 
-    def render(self) -> list[str]:
-        placed, taken, widths = [], {}, {}
+    def place(self) -> list[tuple[int, int, int, int, list[str]]]:
+        """(row, column, columns, rows, lines) of each cell: it begins at the first column
+        that no cell from above covers.  Spans end with the table; only the cells open
+        over the present row are kept in mind, one entry each."""
+        placed, above = [], []  # above: (first column, column after it, row after it)
         for r, row in enumerate(self.rows):
-            c = 0
+            above = sorted(x for x in above if x[2] > r)
+            c, nth, new = 0, 0, []
             for lines, cols, rows in row:
-                while (r, c) in taken:
-                    c += 1
-                for k in range(1, rows):
-                    for j in range(cols):
-                        taken[r + k, c + j] = True
-                placed.append((r, c, cols, lines))
+                while nth < len(above) and above[nth][0] <= c:
+                    c = max(c, above[nth][1])
+                    nth += 1
+                end = len(self.rows) if rows == 0 else min(r + rows, len(self.rows))
+                if end > r + 1:
+                    new.append((c, c + cols, end))
+                placed.append((r, c, cols, end - r, lines))
                 c += cols
+            above += new
+        return placed
+
+    def render(self) -> list[str]:
+        placed, widths = [(r, c, cols, lines) for r, c, cols, _, lines in self.place()], {}
         for _, c, cols, lines in placed:
             if cols == 1:
                 widths[c] = max([widths.get(c, 0), *map(width, lines)])
@@ -314,7 +328,7 @@ class Grid:
                 if more > 0:
                     widths[c + cols - 1] = widths.get(c + cols - 1, 0) + more
         n = max(widths, default=-1) + 1
-        start = [sum(widths.get(j, 0) + 4 for j in range(c)) for c in range(n + 1)]
+        start = [0, *accumulate(widths.get(j, 0) + 4 for j in range(n))]
         out = list(self.captions)
         by_row: dict[int, list] = {}
         for r, c, cols, lines in placed:
@@ -336,8 +350,13 @@ class Grid:
 
 
 def span(node: Node, name: str) -> int:
-    value = node.attrs.get(name, "")
-    return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() else 1
+    """A cell's span: at most 1000 columns or 65534 rows, as HTML has it; 0 rows reach to
+    the end of the table."""
+    value, most = node.attrs.get(name, "").strip(" \t\n\f\r"), 1000 if name == "colspan" else 65534
+    if not (value.isascii() and value.isdigit()):
+        return 1
+    n = min(int(value.lstrip("0")[:6] or 0), most)
+    return n if n or name == "rowspan" else 1
 
 
 def inline_style(style: str) -> dict[str, str]:
@@ -508,6 +527,8 @@ def page_text(html: str | None) -> str:
     """Visible text of one page; '' for a null or empty page."""
     if not html:
         return ""
+    if "&#" in html:
+        html = LONG_NUMBER.sub("\ufffd", ZEROS.sub(lambda m: m[1] or m[2], html))
     builder = TreeBuilder()
     builder.feed(html)
     if re.match("<([?a-zA-Z]|/.)", builder.rawdata, re.S):  # a tag that never ends; the page is fed whole
