@@ -15,14 +15,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.fixed import MIN_STARS, VELOCITY_FACTOR
 from tidemark.functions import guarded_ratio, median, velocity
+from tidemark.operators.ranking import matched, steps
 from tidemark.schema import BREAKOUT_COLUMNS
 
 GROUP_KEYS = ("snapshot_date", "language")
+MEDIAN_STEPS = 1024  # cells per power of two of a value, in group_median's histogram
 
 
 def repo_velocity(top: DataFrame) -> DataFrame:
@@ -41,10 +43,45 @@ def repo_velocity(top: DataFrame) -> DataFrame:
 
 
 def group_median(
-    df: DataFrame, keys: Sequence[str] = GROUP_KEYS, c: str = "stars_per_day", name: str = "median_velocity"
+    df: DataFrame,
+    keys: Sequence[str] = GROUP_KEYS,
+    c: str = "stars_per_day",
+    name: str = "median_velocity",
+    method: str = "aggregate",
 ) -> DataFrame:
-    """Exact median of ``c`` per group (aggregate form; NULL keys form a group)."""
-    return df.groupBy(*keys).agg(median(c).alias(name))
+    """Exact median of ``c`` per group (NULL keys form a group; 32-bit result).
+
+    ``method='aggregate'`` is ``percentile``, whose state holds the group's distinct
+    values: right for the ranked mart (at most N rows a group).  ``'counts'`` finds the
+    same number for groups of any size without holding one anywhere: a histogram of
+    exact cells per group (partial aggregation) tells which one or two cells hold the
+    middle, only their rows are read, and these are counted by value first."""
+    if method == "aggregate":
+        return df.groupBy(*keys).agg(median(c).alias(name))
+    if method != "counts":
+        raise ValueError("method must be 'aggregate' or 'counts'")
+    keys = list(keys)
+    rows = df.select(*keys, F.col(c).cast("double").alias("_v")).withColumn("_cell", steps("_v", MEDIAN_STEPS))
+    cells = rows.groupBy(*keys, "_cell").agg(F.count("_v").alias("_n"))
+    up_to = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.col("_cell").asc_nulls_first()))
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    cells = cells.select("*", (up_to - F.col("_n")).alias("_start"), total.alias("_total"))
+    cells = cells.select("*", F.floor((F.col("_total") - 1) / 2).alias("_low"), F.floor(F.col("_total") / 2).alias("_high"))
+
+    def covers(rank: str, start: Column, n: Column) -> Column:
+        return (F.col(rank) >= start) & (F.col(rank) < start + n)
+
+    middle = cells.filter(covers("_low", F.col("_start"), F.col("_n")) | covers("_high", F.col("_start"), F.col("_n")))
+    held = matched(rows, middle.drop("_n", "_total"), [*keys, "_cell"])
+    values = held.groupBy(*keys, "_cell", "_start", "_low", "_high", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys, "_cell").orderBy("_v")
+    at = F.col("_start") + F.sum("_n").over(w) - F.col("_n")
+    values = values.withColumn("_at", at)
+    low, high = (F.max(F.when(covers(r, F.col("_at"), F.col("_n")), F.col("_v"))) for r in ("_low", "_high"))
+    found = values.groupBy(*keys).agg(low.alias("_a"), high.alias("_b"))
+    mean = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.lit(0.5) * F.col("_a") + F.lit(0.5) * F.col("_b"))
+    without = cells.filter(F.col("_total") == 0).select(*keys).distinct().withColumn(name, F.lit(None).cast("float"))
+    return found.select(*keys, mean.cast("float").alias(name)).unionByName(without)
 
 
 def breakouts(

@@ -15,13 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.fixed import TOP_N as DEFAULT_TOP_N
 from tidemark.fixed import TRENDING_DAYS_BACK, TRENDING_PER_PAGE
 
 DEFAULT_RANK_COL = "rank_in_language"
+PART_BITS = 18  # of a value's rows, those with 2**18 neighbouring ids stand in one slice
 
 
 def _window(keys: Sequence[str], measure: str, tie: str):
@@ -30,12 +31,21 @@ def _window(keys: Sequence[str], measure: str, tie: str):
     )
 
 
-def _octave(measure: str):
-    """An integer that never falls as the measure rises: sixteen steps per power of two,
-    signed, so integers up to 20 have a step of their own; NULL stays NULL."""
+def steps(measure: str, per_octave: int = 16) -> Column:
+    """An integer that never falls as the measure rises: so many steps per power of two,
+    signed; NULL stays NULL, NaN comes last as it does in Spark's order."""
     m = F.col(measure).cast("double")
-    step = F.floor(F.log2(F.abs(m) + F.lit(1.0)) * F.lit(16.0)).cast("int") + F.lit(1)
-    return F.when(m >= 0, step).when(m < 0, -step)
+    size = F.least(F.log2(F.abs(m) + F.lit(1.0)) * F.lit(float(per_octave)), F.lit(1e8))
+    step = F.floor(size).cast("int") + F.lit(1)
+    return F.when(F.isnan(m), F.lit(2**31 - 1)).when(m >= 0, step).when(m < 0, -step)
+
+
+def matched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join with NULL equal to NULL; the right side adds its other columns."""
+    a, b = left.alias("_l"), right.alias("_r")
+    same = [F.col(f"_l.`{c}`").eqNullSafe(F.col(f"_r.`{c}`")) for c in on]
+    more = [F.col(f"_r.`{c}`") for c in right.columns if c not in on]
+    return a.join(b, same, "inner").select(*[F.col(f"_l.`{c}`") for c in left.columns], *more)
 
 
 def rank_in_group(
@@ -45,40 +55,42 @@ def rank_in_group(
     tie: str = "repo_id",
     rank: str = DEFAULT_RANK_COL,
     method: str = "distributed",
+    part_bits: int = PART_BITS,
 ) -> DataFrame:
     """Add ``rank`` = position within the group by measure desc, tie asc (1-based, bigint).
 
     Every row is ranked (no cut), so a window partitioned by the group would put a
-    whole group in one task.  ``method='distributed'`` (default) cuts each group into
-    slices by fixed functions of the row alone: sixteen steps of the measure per power
-    of two and, within a step, 2**20 neighbouring values of an integral ``tie``.  Rows
-    are numbered within their slice and shifted by the rows of the slices before it,
-    from a table of slice counts (partial aggregation, one row per slice).  The
-    result equals ``row_number()``; ``method='window'`` is the plain window.
-
-    The tie only cuts steps of a single value; a step of several values is one slice.
-    Lazy and free of sampling: both branches compute the same slices whenever they run,
-    unneeded columns are pruned, and AQE picks the join from measured sizes.
-    """
+    whole group in one task.  ``method='distributed'`` (default) numbers rows inside
+    slices and adds the rows of the slices before; ``method='window'`` is the plain
+    window.  A slice is one exact value of an integral measure and, of its rows, those
+    with 2**``part_bits`` neighbouring values of an integral ``tie``; so a value that
+    most of a group shares is spread, too.  Other measures are cut into steps, sixteen
+    per power of two.
+
+    Slice counts come from partial aggregation.  The rows before a slice are summed in
+    two levels, steps of the group and slices of the step, so that no task gets all
+    slices of a large group.  Slices are fixed functions of the row: both sides of the
+    join agree whenever they run, nothing is sampled or written, and rows, counts and
+    join share one partitioning."""
     if method == "window":
         return df.select("*", F.row_number().over(_window(keys, measure, tie)).cast("long").alias(rank))
     if method != "distributed":
         raise ValueError("method must be 'distributed' or 'window'")
-    step = _octave(measure)
-    whole = df.schema[measure].dataType.typeName() in ("byte", "short", "integer", "long")
-    integral = df.schema[tie].dataType.typeName() in ("byte", "short", "integer", "long")
-    single = (F.col(measure).isNull() | F.col(measure).between(-20, 20)) if whole else F.col(measure).isNull()
-    part = F.when(single, F.shiftright(F.col(tie).cast("long"), 20)) if integral else F.lit(None).cast("long")
-    cut = df.select("*", step.alias("_step"), part.alias("_part"))
-    place = [*keys, "_step", "_part"]
-    order = [F.col("_step").desc_nulls_last(), F.col("_part").asc_nulls_last()]
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    counts = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).select(*place, F.coalesce(before, F.lit(0)).alias("_before"))
-    inside = F.row_number().over(_window(place, measure, tie))
-    left, right = cut.select("*", inside.alias("_rn")).alias("_l"), counts.alias("_r")
-    same = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in place]
-    value = (F.col("_r._before") + F.col("_l._rn")).cast("long")
-    return left.join(right, same, "inner").select(*[F.col(f"_l.`{c}`") for c in df.columns], value.alias(rank))
+    whole, integral = (df.schema[c].dataType.typeName() in ("byte", "short", "integer", "long") for c in (measure, tie))
+    value = F.col(measure).cast("long") if whole else F.lit(None).cast("long")
+    part = F.shiftright(F.col(tie).cast("long"), part_bits) if whole and integral else F.lit(None).cast("long")
+    cut = df.select("*", steps(measure).alias("_step"), value.alias("_value"), part.alias("_part"))
+    step, place = [*keys, "_step"], [*keys, "_step", "_value", "_part"]
+    counts = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    first = Window.unboundedPreceding, -1
+    in_step = Window.partitionBy(*step).orderBy(F.col("_value").desc_nulls_last(), F.col("_part").asc_nulls_last())
+    slices = counts.select(*place, F.coalesce(F.sum("_n").over(in_step.rowsBetween(*first)), F.lit(0)).alias("_earlier"))
+    of_step = counts.groupBy(*step).agg(F.sum("_n").alias("_n"))
+    in_group = Window.partitionBy(*keys).orderBy(F.col("_step").desc_nulls_last()).rowsBetween(*first)
+    of_step = of_step.select(*step, F.coalesce(F.sum("_n").over(in_group), F.lit(0)).alias("_above"))
+    before = matched(slices, of_step, step).select(*place, (F.col("_above") + F.col("_earlier")).alias("_before"))
+    inside = cut.select("*", F.row_number().over(_window(place, measure, tie)).alias("_rn"))
+    return matched(inside, before, place).select(*df.columns, (F.col("_before") + F.col("_rn")).cast("long").alias(rank))
 
 
 def top_n_per_group(

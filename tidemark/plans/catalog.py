@@ -216,6 +216,11 @@ def q_language_median(spark, d):
     return bo.group_median(bo.repo_velocity(_a(spark, d).top))
 
 
+def q_language_median_all(spark, d):
+    """The median over all staged rows of a group, not only its ranked head."""
+    return bo.group_median(bo.repo_velocity(_a(spark, d).stg), method="counts")
+
+
 def q_breakouts(spark, d):
     return bo.order_breakouts(_a(spark, d).breakouts)
 

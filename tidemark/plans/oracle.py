@@ -267,6 +267,11 @@ ORACLE: dict[str, str] = {
         WHERE rank <= {TRENDING_PER_PAGE}
     """,
     "language_median": _a("SELECT snapshot_date, language, median_velocity FROM medians"),
+    "language_median_all": _a(
+        "SELECT snapshot_date, language, CAST(quantile_cont(CAST(pace AS DOUBLE), 0.5) AS FLOAT) AS median_velocity FROM ("
+        "SELECT snapshot_date, language, round(CAST(stars AS FLOAT) / CASE WHEN repo_age_days > 0 THEN repo_age_days ELSE 1 END, 2) AS pace "
+        "FROM stg_repos) GROUP BY snapshot_date, language"
+    ),
     "breakouts": _a(f"SELECT * FROM breakout_repos ORDER BY {BREAKOUT_ORDER}"),
     "breakouts_users": _b(f"SELECT * FROM breakout_repos ORDER BY {BREAKOUT_ORDER}"),
     "breakout_count": _a("SELECT count(*) AS breakout_count FROM breakout_repos"),

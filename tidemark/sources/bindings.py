@@ -89,7 +89,7 @@ def parts_per_quarter(spark: SparkSession, sf_dir: str, wide: bool = False) -> D
     quarter = quarter_end("l_shipdate").alias("snapshot_date")
     quarters = _wide_quarters(li, quarter) if wide else _slim_quarters(li, quarter)
     first = li.groupBy("l_partkey").agg(F.min("l_shipdate").alias("created_at"))
-    per_quarter = quarters.join(first, "l_partkey")
+    per_quarter = quarters.join(first, "l_partkey", "left")  # unique there: dropped where its date is not read
 
     rows = per_quarter.join(part, F.col("l_partkey") == F.col("p_partkey"), "inner")
     return rows.withColumn("topics", json_array_text("flags")).selectExpr(
