@@ -114,6 +114,7 @@ class Counter:
             n = known.get(w)
             if n is None:
                 n = self.match.count(b" " + w)
+                n = 1 if n < 0 else n  # one unknown piece
                 if len(w) <= LONG:
                     if len(known) >= CACHE:
                         known.clear()
@@ -124,6 +125,7 @@ class Counter:
 
 def token_counts(docs: DataFrame, vocab: str) -> DataFrame:
     """(doc_id, n_words, n_tokens) per row; a null or empty text has none of either.
+    A word that the vocabulary can't be put together to counts as one unknown piece.
 
     ``vocab`` is the path of a byte-level tokenizers file, readable on every
     executor.  Repeated rows stay; other columns are not read."""
