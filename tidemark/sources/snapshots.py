@@ -2,8 +2,8 @@
 
 Three layouts below one base folder, any mix of them:
 
-* ``<YYYY-MM-DD>/snapshot.json``: one JSON array a day (the collector's files).
-  Other files beside it are never read.  An array cannot be split: one task a day;
+* ``<YYYY-MM-DD>/snapshot.json``: one JSON array a day (the collector's files), cut into
+  records by many tasks (``sources.arrays``).  Other files beside it are never read;
 * ``snapshot_date=<YYYY-MM-DD>/*.json``: JSON lines, as ``sinks.write_snapshots``
   writes them; splittable, for volume;
 * ``snapshot_date=<YYYY-MM-DD>/*.parquet``: the same records as Parquet.
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tidemark.fixed import SNAPSHOT_FILE
 from tidemark.functions import json_array_text, to_utc_naive
 from tidemark.schema import PAYLOAD, RAW_COLUMNS, SNAPSHOT_RECORD
+from tidemark.sources.arrays import read_json_arrays
 from tidemark.sources.sinks import list_glob, path_exists
 
 _DATE_DIR = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
@@ -44,11 +45,11 @@ def read_snapshot_records(spark: SparkSession, base_dir: str) -> DataFrame:
     parts = []
     arrays = list_glob(spark, f"{base}/*/{SNAPSHOT_FILE}")
     if arrays:
-        df = _json(spark, SNAPSHOT_RECORD, True).json(f"{base}/*/{SNAPSHOT_FILE}")
-        path = F.col("_metadata.file_path")
+        df = read_json_arrays(spark, f"{base}/*/{SNAPSHOT_FILE}", SNAPSHOT_RECORD, {"timeZone": "UTC"})
+        path = F.col("file")
         day = F.try_to_date(F.regexp_extract(path, _DATE_DIR, 1))
         wrong = F.raise_error(F.concat(F.lit("not a date folder: "), path)).cast("date")
-        parts.append(df.withColumn("snapshot_date", F.coalesce(day, wrong)))
+        parts.append(df.withColumn("snapshot_date", F.coalesce(day, wrong)).drop("file"))
     if list_glob(spark, f"{base}/snapshot_date=*/*.json"):
         parts.append(read_snapshot_table(spark, base, "json"))
     if list_glob(spark, f"{base}/snapshot_date=*/*.parquet"):
