@@ -1,0 +1,56 @@
+"""Results of ad-hoc SQL: run once, counted on the way, read by page in order."""
+
+import os
+
+import pytest
+
+from tidemark.operators import explorer
+
+
+@pytest.fixture
+def numbers(spark):
+    spark.range(0, 1000, 1, 7).selectExpr("id", "id % 13 AS k").createOrReplaceTempView("page_numbers")
+
+
+def test_pages_in_order(spark, numbers, tmp_path):
+    pages = explorer.explore_paged(spark, "SELECT id, k FROM page_numbers ORDER BY k DESC, id", folder=str(tmp_path))
+    want = sorted(((i, i % 13) for i in range(1000)), key=lambda r: (-r[1], r[0]))
+    assert pages.rows == 1000 and [tuple(r) for r in pages.result.collect()] == want
+    got = [tuple(r) for i in range(11) for r in pages.page(i, 99).collect()]
+    assert got == want and pages.page(11, 99).collect() == [] and len(pages.page(0).collect()) == 50
+    with pytest.raises(ValueError):
+        pages.page(-1)
+    assert len(os.listdir(tmp_path)) == 1
+    pages.drop()
+    assert os.listdir(tmp_path) == []
+
+
+def test_a_page_reads_only_its_rows(spark, numbers, tmp_path):
+    pages = explorer.explore_paged(spark, "SELECT id FROM page_numbers", folder=str(tmp_path))
+    plan = pages.page(3, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(at" in plan
+
+
+def test_one_run_per_query(spark, numbers, tmp_path):
+    """Rows go through the query once: a counter in it sees each row once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(x):
+        seen.add(1)
+        return x
+
+    spark.udf.register("touch_row", touch, "long")
+    pages = explorer.explore_paged(spark, "SELECT touch_row(id) AS id FROM page_numbers", folder=str(tmp_path))
+    assert pages.rows == 1000 and len(pages.page(2, 30).collect()) == 30 and pages.result.count() == 1000
+    assert seen.value == 1000
+
+
+def test_names_and_types_come_back(spark, tmp_path):
+    sql = "SELECT 1 AS x, 2 AS x, NULL AS nothing, array(1, 2) AS list, DATE'2024-01-01' AS day, named_struct('at', 1) AS at"
+    pages = explorer.explore_paged(spark, sql, folder=str(tmp_path))
+    assert pages.result.schema.simpleString() == spark.sql(sql).schema.simpleString()
+    assert str(pages.result.collect()) == str(spark.sql(sql).collect()) and pages.rows == 1
+    none = explorer.explore_paged(spark, "SELECT 1 AS a WHERE false", folder=str(tmp_path))
+    assert none.rows == 0 and none.result.collect() == [] and none.page(0).collect() == []
+    with pytest.raises(explorer.ReadOnlyViolation):
+        explorer.explore_paged(spark, "DROP TABLE x", folder=str(tmp_path))

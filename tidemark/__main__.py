@@ -59,15 +59,16 @@ def main(argv=None) -> int:
 
         breakout_report(tables["breakout_repos"], args.n).show(args.n, truncate=False)
         return 0
-    from tidemark.operators.explorer import ReadOnlyViolation, explore_counted
+    from tidemark.operators.explorer import ReadOnlyViolation, explore_paged
 
     try:
-        df, rows = explore_counted(spark, args.query)
+        pages = explore_paged(spark, args.query)
     except ReadOnlyViolation as e:
         print(f"Query rejected: {e}")
         return 2
-    shown = rows if args.limit is None else min(rows, args.limit)
-    df.show(shown, truncate=False)
+    rows, shown = pages.rows, pages.rows if args.limit is None else min(pages.rows, args.limit)
+    (pages.page(0, shown) if shown else pages.result).show(shown, truncate=False)
+    pages.drop()
     print(f"{rows} rows" + (f", {rows - shown} not shown" if shown < rows else ""))
     return 0
 

@@ -11,12 +11,16 @@ is never spliced with values: selections go in as named parameters.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.fixed import EXPLORER_LIMIT as DEFAULT_LIMIT
+from tidemark.session import checkpoint_dir
+from tidemark.sources.versions import filesystem
 
 # Catalyst's classes of the functions that call JVM methods.
 _CALLS = {"CallMethodViaReflection", "TryReflect"}
@@ -65,10 +69,70 @@ def _calls_jvm(plan) -> bool:
     return False
 
 
-def explore_counted(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None) -> tuple[DataFrame, int]:
-    """The result of user SQL and its number of rows."""
+class Pages:
+    """A stored result of user SQL: its number of ``rows``, and its pages in its order.
+
+    The query ran once, when the result was written; pages read only their own rows.
+    ``drop`` removes the stored rows."""
+
+    def __init__(self, stored: DataFrame, rows: int, path: str, columns: Sequence[tuple[str, T.DataType]]):
+        self.rows, self.path, self._stored, self._columns = rows, path, stored, columns
+        self._starts: list[tuple[int, int, int]] | None = None
+
+    def _shown(self, rows: DataFrame) -> DataFrame:
+        # columns are stored by place: user SQL may repeat names, or have none of a type files know
+        back = lambda i, kind: F.lit(None) if isinstance(kind, T.NullType) else F.col(f"c{i}").cast(kind)
+        return rows.sort("at").select(*[back(i, kind).alias(name) for i, (name, kind) in enumerate(self._columns)])
+
+    @property
+    def result(self) -> DataFrame:
+        """All rows, in the query's order."""
+        return self._shown(self._stored)
+
+    def page(self, number: int, size: int = DEFAULT_LIMIT) -> DataFrame:
+        """Rows ``number * size`` and the ``size - 1`` after it (fewer on the last page)."""
+        if number < 0 or size < 1:
+            raise ValueError("pages count from 0 and hold at least one row")
+        if self._starts is None:  # a number for each task that wrote rows
+            part = F.shiftright("at", 33)
+            found = sorted(self._stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+            self._starts, before = [], 0
+            for part, n in found:
+                self._starts.append((part, before, n))
+                before += n
+        lo, hi = number * size, (number + 1) * size
+        wanted = F.lit(False)
+        for part, before, n in self._starts:
+            a, z = max(lo - before, 0), min(hi - before, n)
+            if a < z:
+                wanted = wanted | F.col("at").between((part << 33) + a, (part << 33) + z - 1)
+        return self._shown(self._stored.filter(wanted))
+
+    def drop(self) -> None:
+        fs, path = filesystem(self._stored.sparkSession, self.path)
+        fs.delete(path, True)
+
+
+def explore_paged(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None, folder: str | None = None) -> Pages:
+    """Run user SQL once and keep its result below ``folder``, counted on the way.
+
+    Without ``folder`` it goes to the session's checkpoint folder, or else the warehouse."""
     df = explore(spark, sql, args)
-    return df, df.count()
+    columns = [(f.name, f.dataType) for f in df.schema.fields]
+    folder = folder or checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{folder.rstrip('/')}/explorer-{uuid.uuid4().hex}"
+    plain = df.toDF(*[f"c{i}" for i in range(len(columns))])
+    plain = plain.select(*[F.col(f"c{i}").cast("string") if isinstance(kind, T.NullType) else F.col(f"c{i}") for i, (_, kind) in enumerate(columns)])
+    seen = Observation()
+    kept = plain.withColumn("at", F.monotonically_increasing_id()).observe(seen, F.count(F.lit(1)).alias("rows"))
+    kept.write.parquet(path)
+    return Pages(spark.read.schema(kept.schema).parquet(path), seen.get["rows"], path, columns)
+
+
+def explore_counted(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None) -> tuple[DataFrame, int]:
+    """The result of user SQL and its number of rows; the query runs once."""
+    pages = explore_paged(spark, sql, args)
+    return pages.result, pages.rows
 
 
 def own_session(spark: SparkSession) -> SparkSession:
