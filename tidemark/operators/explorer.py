@@ -81,7 +81,7 @@ class Pages:
 
     def _shown(self, rows: DataFrame) -> DataFrame:
         # columns are stored by place: user SQL may repeat names, or have none of a type files know
-        back = lambda i, kind: F.lit(None) if isinstance(kind, T.NullType) else F.col(f"c{i}").cast(kind)
+        back = lambda i, kind: F.lit(None) if isinstance(kind, T.NullType) else F.col(f"c{i}")
         return rows.sort("at").select(*[back(i, kind).alias(name) for i, (name, kind) in enumerate(self._columns)])
 
     @property
