@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_lossless import breakout_day, record, rows, write_day
 from tidemark.plans import pipeline
@@ -209,3 +210,43 @@ def test_manifests_are_plain_json(spark, tmp_path):
     sinks.replace_table(table(spark, *OLD), path)
     state = json.loads((tmp_path / "t" / "_log" / f"{1:020d}.json").read_text())
     assert set(state["parts"]) == {"snapshot_date=2024-01-01", "snapshot_date=2024-01-02"} and state["format"] == "parquet"
+
+
+# ---------------------------------------------------------------- merging loads
+LOADS = [
+    [(1, "u", 5, "2024-01-01 06:00:00"), (2, "u", 5, "2024-01-01 06:00:00"), (None, "n", 1, "2024-01-01 06:00:00"), (1, "u", 9, "2024-01-02 06:00:00")],
+    [(1, "u", 6, "2024-01-01 07:00:00"), (1, "u", 3, "2024-01-01 05:00:00"), (None, "n", 1, "2024-01-01 06:00:00"), (3, "u", 1, "2024-01-01 06:00:00")],
+    [(2, "u", 8, "2024-01-02 01:00:00"), (4, "u", 8, None), (4, "v", 8, None)],
+    [(4, "a", 1, None), (9, "u", 1, "2024-01-05 00:00:00")],
+    [],
+]
+
+
+def test_merged_loads_equal_one_dedup(spark, tmp_path):
+    from tidemark.sources.snapshots import dedup_snapshots, merge_loads
+
+    path, schema, all_rows = str(tmp_path / "distinct"), "id long, url string, stars int, ingested_at string", []
+    for load in LOADS:
+        all_rows += load
+        df, whole = (spark.createDataFrame(x, schema).withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz")) for x in (load, all_rows))
+        assert merge_loads(df, path) == bool(load)
+        assert rows(sinks.read_table(spark, path).drop("load_date")) == rows(dedup_snapshots(whole))
+
+
+def test_merging_reads_the_touched_dates_only(spark, tmp_path, monkeypatch):
+    from tidemark.sources import snapshots
+
+    path, read = str(tmp_path / "distinct"), []
+    plain = snapshots.replace_table
+
+    def watch(df, *a, **k):
+        read.extend(f.rpartition("/distinct/")[2].split("/")[0] for f in df.inputFiles())
+        return plain(df, *a, **k)
+
+    days = spark.range(40).selectExpr("id", "'u' AS url", "1 AS stars", "timestamp_ntz'2024-01-01 06:00:00' + make_interval(0, 0, 0, CAST(id % 4 AS INT)) AS ingested_at")
+    snapshots.merge_loads(days, path)
+    monkeypatch.setattr(snapshots, "replace_table", watch)
+    more = days.filter("id % 4 = 2").selectExpr("id + 4 AS id", "url", "2 AS stars", "ingested_at")
+    assert snapshots.merge_loads(more, path)
+    assert set(read) == {"load_date=2024-01-03"}
+    assert sinks.read_table(spark, path).filter("load_date = DATE'2024-01-03'").count() == 11

@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from tidemark.fixed import SNAPSHOT_FILE
 from tidemark.functions import json_array_text, to_utc_naive
 from tidemark.schema import PAYLOAD, RAW_COLUMNS, SNAPSHOT_RECORD
+from tidemark.sources import versions
 from tidemark.sources.arrays import read_json_arrays
-from tidemark.sources.sinks import list_glob, path_exists
+from tidemark.sources.sinks import list_glob, path_exists, read_table, replace_table
 
 _DATE_DIR = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
 _DATED = T.StructType(SNAPSHOT_RECORD.fields + [T.StructField("snapshot_date", T.DateType())])
@@ -160,6 +161,31 @@ def dedup_snapshots(raw: DataFrame, key: str = "id", stamp: str = "ingested_at")
     return newest.unionByName(raw.filter(F.col(key).isNull()))
 
 
+def merge_loads(new: DataFrame, path: str, key: str = "id", stamp: str = "ingested_at") -> bool:
+    """Merge a load into the stored table of distinct rows at ``path``.
+
+    The table then equals ``dedup_snapshots`` over all loads merged so far.  It is
+    partitioned by load date, and only the dates in ``new`` are read and replaced, in one
+    step.  Of these, rows whose key the load does not have pass by untouched: the keys of
+    a small load are broadcast (measured by AQE), so stored rows are not shuffled; for a
+    large one the joins shuffle, behind Spark's own runtime filters.  A load without rows
+    changes nothing; the result says whether the table changed."""
+    spark, day = new.sparkSession, F.to_date(F.col(stamp)).alias("load_date")
+    dated = new.select("*", day)
+    dates = [r[0] for r in dated.select("load_date").distinct().collect()]  # one value a day
+    if not dates:
+        return False
+    if versions.manifest(spark, path) is not None:
+        stored = read_table(spark, path, dates=["__HIVE_DEFAULT_PARTITION__" if d is None else d for d in dates])
+        keys = dated.select(F.col(key).alias("_key"), F.col("load_date").alias("_day")).filter(F.col("_key").isNotNull()).distinct()
+        hit = (F.col(key) == F.col("_key")) & F.col("load_date").eqNullSafe(F.col("_day"))
+        passed = stored.join(keys, hit, "left_anti")
+        fresh = dedup_snapshots(stored.join(keys, hit, "left_semi").unionByName(dated), key, stamp).unionByName(passed)
+    else:
+        fresh = dedup_snapshots(dated, key, stamp)
+    return replace_table(fresh, path, partition_by=("load_date",), mode="dynamic")
+
+
 def read_snapshot_table(spark: SparkSession, base_dir: str, fmt: str = "json") -> DataFrame:
     """Records below ``snapshot_date=<day>`` directories (see ``sinks.write_snapshots``),
     the date from the directory."""
