@@ -64,3 +64,21 @@ def test_edge_cases(spark):
     assert got.count() == docs.count() and same(got, mixing.mixture(widened(docs)))
     assert {r["size"] for r in got.collect() if r.doc_id in (60, 61, 62)} == {0}
     assert mixing.mixture(documents(spark, [])).collect() == [] and mixing.mixed_documents(documents(spark, [])).collect() == []
+
+
+def test_a_text_is_split_once(spark):
+    """The words are extracted outside of the functions that cut pieces of them."""
+    df = mixing.mixed_documents(documents(spark))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in plan.splitlines() if "regexp_extract_all" in x)
+    assert line.count("regexp_extract_all") == 1 and line.index("regexp_extract_all") < line.index("lambdafunction")
+    long = spark.createDataFrame([(1, "wörd one " * 40_000, "en", "s", 1), (2, "few", "en", "s", 1)], documents(spark, []).schema)
+    out = {r.doc_id: r.text for r in mixing.mixed_documents(long).collect()}
+    assert set(out[1].split()) == {"wörd", "one"}
+
+
+def test_rows_without_an_id_are_spread(spark):
+    data = [(None, f"word{i} more words", "en", "s", 1) for i in range(3000)]
+    mix = mixing.Mix(mixing.sized(documents(spark, data)))
+    chunks = mix.rows.select((mix.rows.key % mix.chunks).alias("c")).groupBy("c").count().collect()
+    assert max(r["count"] for r in chunks) < 100

@@ -81,21 +81,25 @@ def permute(i: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """Documents with ``size`` (words; null text: 0) and ``row``, saved once so that
-    rows keep their numbers."""
+def sized(docs: DataFrame, keep: bool = False) -> DataFrame:
+    """(row, doc_id, source, size, key): a row per row of ``docs``, with its words (null
+    text: 0) and the hash of its id and text; with ``keep`` also the row itself, as
+    ``given``.  Saved once so that rows keep their numbers."""
     shared_dir(docs.sparkSession)
-    rows = docs.withColumns({"size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"), "row": F.monotonically_increasing_id()})
-    return save(rows, "mix-docs")
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    own = [F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", size, F.xxhash64("doc_id", "text").alias("key")]
+    return save(docs.select(*own, *[F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given")] * keep), "mix-docs")
 
 
 class Mix:
-    """The mix of a table with the columns row, doc_id, source and size.
+    """The mix of a table with the columns row, doc_id, source and size; rows go to chunks
+    by ``key`` (without one: by doc_id).
 
     ``plan`` has one entry per source, in code-point order, null last; the sources
     are the only thing that reaches the driver."""
 
     def __init__(self, rows: DataFrame, weights=WEIGHTS, share=SHARE, limit=LIMIT, block=BLOCK, seed=SEED):
+        rows = rows if "key" in rows.columns else rows.withColumn("key", F.xxhash64("doc_id"))
         self.spark, self.rows, self.block, self.seed = rows.sparkSession, rows, block, seed
         found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
         found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
@@ -111,10 +115,10 @@ class Mix:
 
     def pieces(self) -> DataFrame:
         """(no, block, row, from, words): the part of each block that a row holds."""
-        rows = self.rows.select("row", "doc_id", "source", "size").join(
+        rows = self.rows.select("row", "doc_id", "source", "size", "key").join(
             self.plan.select("no", F.col("source").alias("of")), F.col("source").eqNullSafe(F.col("of"))
-        ).where("size > 0").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(self.chunks)).cast("int"))
-        w = Window.partitionBy("no", "chunk").orderBy("doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
+        ).where("size > 0").withColumn("chunk", F.pmod("key", F.lit(self.chunks)).cast("int"))
+        w = Window.partitionBy("no", "chunk").orderBy("doc_id", "size", "key", "row").rowsBetween(Window.unboundedPreceding, -1)
         inside = rows.select("row", "no", "chunk", "size", F.coalesce(F.sum("size").over(w), F.lit(0)).alias("at"))
         sums = rows.groupBy("no", "chunk").agg(F.sum("size").alias("chunk_size"))
         w = Window.partitionBy("no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -170,7 +174,7 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
     Words are runs without ASCII white space; a document without any takes part
     with size 0.  A null source is a source of its own, the last one.  Rows repeated
     with one doc_id are mixed separately.  An empty table gives an empty mix."""
-    rows = sized(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source")).select("row", "doc_id", "source", "size")
+    rows = sized(docs)
     mix = Mix(rows, **options)
     taken = mix.used().groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     plan = mix.plan.withColumnRenamed("source", "of")
@@ -185,21 +189,29 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     the mix takes words.  Its text holds the words taken, those of the second pass
     after those of the first; a text taken whole and once stays as it is.
     ``n_chars`` is counted anew."""
-    rows = sized(docs)
+    rows = sized(docs, keep=True)
     mix = Mix(rows, **options)
     parts = mix.used().groupBy("row").agg(
         F.sum(F.col("words") * F.col("times")).alias("taken"), F.max("times").alias("most"),
         F.array_sort(F.collect_list(F.struct("from", "words", "times"))).alias("parts"),
     )
-    both = rows.join(parts, "row").withColumn("bag", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
-    passes = F.flatten(F.transform(F.sequence(F.lit(1), F.col("most")), lambda k: F.transform(
-        F.filter("parts", lambda p: p["times"] >= k), lambda p: F.array_join(F.slice("bag", (p["from"] + 1).cast("int"), p["words"].cast("int")), " "))))
+    both = rows.select("row", "size", "given").join(parts, "row")
+
+    def passes(bag):
+        """The words taken, pass after pass, of a text's words."""
+        piece = lambda p: F.array_join(F.slice(bag, (p["from"] + 1).cast("int"), p["words"].cast("int")), " ")
+        turn = lambda k: F.transform(F.filter("parts", lambda p: p["times"] >= k), piece)
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(1), F.col("most")), turn)), " ")
+
+    # the words are bound to a variable, so each text is split once, however many pieces it has
+    bag = F.array(F.regexp_extract_all("given.text", F.lit(f"({WORD})"), F.lit(1)))
     whole = (F.col("taken") == F.col("size")) & (F.col("most") == 1)
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(passes, " "))
-    out = both.withColumn("text", text)
+    text = F.when(whole, F.col("given.text")).otherwise(F.transform(bag, passes)[0])
+    out = both.select("given", text.alias("text"))
+    made = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        made["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select([made[c].alias(c) if c in made else F.col("given").getField(c).alias(c) for c in docs.columns])
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
