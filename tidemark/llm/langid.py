@@ -30,6 +30,7 @@ BATCH = 192      # windows a training step
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 KNOWN_SHARE = 0.35  # bar of known letter runs, as a part of what training documents share with each other
+FEW = 12              # runs of a text below which their share says nothing
 MARGIN = 0.02       # bar of the best probability over the uniform one, as a part of what is left to 1
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -147,9 +148,10 @@ class ByteGRU:
         self.bar = KNOWN_SHARE * float(np.median(shares)) if shares else 0.0
 
     def known(self, texts: list[np.ndarray], seen: np.ndarray | None = None) -> np.ndarray:
-        """Share of each text's runs that training documents hold; 1 where it has none."""
+        """Share of each text's runs that training documents hold; 1 where it has fewer than
+        ``FEW``, too few to tell: the network alone decides there."""
         seen = np.unpackbits(self.seen).view(bool) if seen is None else seen
-        return np.array([seen[r].mean() if len(r) else 1.0 for r in map(runs, texts)])
+        return np.array([seen[r].mean() if len(r) >= FEW else 1.0 for r in map(runs, texts)])
 
     def fit(self, texts: list[np.ndarray], labels: list[int], steps: int = STEPS, seed: int = 5) -> list[float]:
         """Adam on random windows, the languages drawn equally often.  A text is its
