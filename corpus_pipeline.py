@@ -31,14 +31,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     on several is decided on its own; equal rows are one document and stay together.
     Rows without a doc_id come after all ids; a group of such rows alone keeps one."""
     shared_dir(spark)
-    rows = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = save(simhash.fingerprints(rows, SHINGLE, ("doc_id", "_key")), "simhash-rows")
+    key = F.xxhash64("doc_id", "text").alias("_key")
+    rows = docs.select("doc_id", key, F.struct(*docs.columns).alias("_row"))
+    found = save(simhash.fingerprints(docs.select("doc_id", "text", key), SHINGLE, ("doc_id", "_key")), "simhash-rows")
     kept = simhash.classes(found, F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_key"), MAX_BITS)
     stays = (F.col("_key") == F.col("first._key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
     gone = found.join(kept, "fp").where(~stays).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_gone")).distinct()
     left = rows.join(gone, (F.col("_key") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    named = left.where(F.col("doc_id").isNotNull()).select(docs.columns)
-    nameless = left.where(F.col("doc_id").isNull()).groupBy("_key", "text").agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    named = left.where(F.col("doc_id").isNotNull()).select("_row.*")
+    nameless = left.where(F.col("doc_id").isNull()).groupBy("_key", F.col("_row.text")).agg(F.first("_row").alias("_row"))
     return named.union(nameless.select("_row.*"))
 
 
@@ -50,7 +51,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key = F.xxhash64("doc_id", "text")
     found = decontaminate.contamination(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     gone = found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").select(docs.columns)
+    rows = docs.select(key.alias("_key"), F.struct(*docs.columns).alias("_row"))
+    return rows.join(gone, "_key", "left_anti").select("_row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
