@@ -6,7 +6,10 @@ import random
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names operators might use themselves.
-CLASHING = "fp long, row long, size long, word string, key long, block long, shard int, item string, n_words long, norm string"
+CLASHING = (
+    "fp long, row long, size long, word string, key long, block long, shard int, item string, n_words long, norm string, "
+    "_key long, _row long, bag long, taken long, parts long, given long, source_size long, most long, ids long"
+)
 
 VOCAB = [a + b for a in ("the", "on", "er", "st", "ha", "é", "ñ", "Ä") for b in ("", "ing", "ion", "s", "le", ".", ",")]
 

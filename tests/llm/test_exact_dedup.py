@@ -55,3 +55,37 @@ def test_colliding_keys_are_chained(spark, monkeypatch):
 def test_native_plan(spark, capsys):
     exact_dedup.op3_exact_dedup(spark, SF_SMALL).explain("formatted")
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_documents_are_found_through_the_directory(spark, monkeypatch):
+    """Another directory, or none, and the slots are not found."""
+    data = [(i, f"text {i % 200}", None, None, None) for i in range(300)]
+    docs = documents(spark, data)
+    index = exact_dedup.build_index(docs, capacity=8)
+    assert index.select("bucket").distinct().count() > 20
+    assert sorted(map(tuple, exact_dedup.exact_duplicates(docs, index).collect()), key=str) == brute(data)
+    opened = exact_dedup.opened
+    monkeypatch.setattr(exact_dedup, "opened", lambda i: (opened(i)[0].select("entry", (F.col("bucket") + 1).alias("bucket")), opened(i)[1]))
+    assert exact_dedup.exact_duplicates(docs, index).count() < 300
+    monkeypatch.setattr(exact_dedup, "opened", lambda i: (opened(i)[0].limit(0), opened(i)[1]))
+    assert exact_dedup.exact_duplicates(docs, index).count() == 0
+
+
+def test_the_query_splits_buckets(spark, tmp_path, monkeypatch):
+    """The registered path with a small capacity: many buckets, the same rows."""
+    data = rows(80) + rows(40)
+    documents(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    build, seen = exact_dedup.build_index, []
+    monkeypatch.setattr(exact_dedup, "build_index", lambda docs, capacity: seen.append(build(docs, 4)) or seen[-1])
+    got = exact_dedup.op3_exact_dedup(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(data)
+    assert seen[0].select("bucket").distinct().count() > 10 and seen[0].agg(F.max("depth")).first()[0] >= 4
+
+
+def test_one_digest_for_two_texts_is_an_error(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(exact_dedup.F, "sha2", lambda c, n: F.lit("ab"))
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *c: F.lit(5).cast("long") + F.length(c[0]) * 0)
+    with pytest.raises(Exception, match="two texts with one digest"):
+        exact_dedup.build_index(documents(spark, [(1, "a", None, None, None), (2, "b", None, None, None)]))

@@ -87,3 +87,43 @@ def test_packing():
     arrays = [np.arange(5, dtype="<u4"), np.empty(0, "<u8"), np.array([1, 255], np.uint8), np.array([-3], "<i8")]
     for a, b in zip(arrays, lm.unpack(lm.pack(*arrays)), strict=True):
         assert np.array_equal(a, b)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from tidemark.llm.token_ids import EliasFano  # noqa: E402
+
+numbers = st.one_of(st.integers(0, 40), st.integers(0, 1 << 45), st.integers(0, (1 << 64) - 1))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(numbers, min_size=1, max_size=1500, unique=True), st.lists(numbers, max_size=30))
+def test_levels_are_searched_as_coded(values, others):
+    values = np.array(sorted(values), np.uint64)
+    level = lm.Level(EliasFano.from_buffer(memoryview(EliasFano.encode(values, align=8).to_bytes()), 0)[0])
+    assert np.array_equal(level.entries(np.arange(len(values))), values)
+    ask = np.concatenate([values, np.array(others, np.uint64)])
+    want = np.searchsorted(values, ask)
+    want = np.where(values[np.minimum(want, len(values) - 1)] == ask, np.minimum(want, len(values) - 1), -1)
+    assert np.array_equal(level.search(ask, *level.near(ask)), want)
+    assert np.array_equal(level.search(ask, np.zeros(len(ask)), np.full(len(ask), len(values))), want)
+    assert (level.search(values, np.zeros(len(values)), np.zeros(len(values))) == -1).all()
+
+
+def test_nothing_is_decoded(monkeypatch):
+    """Scoring works without a decoder, and not without the coded search."""
+
+    def refuse(*a, **k):
+        raise AssertionError("a level was decoded")
+
+    docs = [(1, 0, [b"a", b"b", b"a"]), (2, 0, [b"a", b"c"])]
+    asked = [lm.read_requests(d) for s, d in lm.build_block(docs, 1, {}) if s >= 0]
+    monkeypatch.setattr(EliasFano, "decode", refuse)
+    trie = lm.Trie.mapped(lm.merge(asked))
+    a, b = (np.array([lm.word_key(w)], np.uint64) for w in (b"a", b"b"))
+    at = trie.context(a)
+    assert at[0] >= 0 and trie.counts[at][0] == 3 and trie.fanout(at)[0] == 3 and trie.successor(at, b & lm.LOW40)[0] != lm.ABSENT
+    assert trie.context(np.array([12345], np.uint64))[0] == -1 and trie.successor(at, a & lm.LOW40)[0] == lm.ABSENT
+    monkeypatch.setattr(lm.Level, "search", lambda self, keys, low, high: np.full(len(keys), -1))
+    assert trie.context(a)[0] == -1

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 from tests.conftest import SF_SMALL
-from tests.llm.helpers import SCHEMA, rows, widened
+from tests.llm.helpers import CLASHING, SCHEMA, rows, widened
 from tests.llm.test_decontaminate import brute as contaminated
 from tests.llm.test_simhash import slow_components, slow_fingerprint
 
@@ -13,6 +13,9 @@ import corpus_pipeline as pipeline
 from tidemark.llm._shared import save
 
 
+EXTRA = [c.split()[0] for c in CLASHING.split(", ")]
+
+
 @pytest.fixture(scope="module")
 def written(spark):
     """What each stage made of its input, on the small tables."""
@@ -78,6 +81,8 @@ def test_odd_rows_and_empty_input(spark):
         for name, stage in pipeline.STAGES[:-1]:
             out = save(stage(spark, docs, SF_SMALL), f"odd-{name}")
             assert out.columns == docs.columns, name
+            # columns of clashing names come through as they were
+            assert out.select(*[out[c].cast("string") for c in EXTRA]).distinct().collect() in ([], [("7",) * len(EXTRA)]), name
             docs = out
         assert pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() == docs.count()
         assert bool(data) == bool(docs.count())
