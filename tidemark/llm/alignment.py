@@ -314,6 +314,7 @@ class Alignment:
         self.documents = written.where("part < 0")
         sizes = dict(written.where("part >= 0").groupBy("part").agg(F.sum(F.length("posts") + F.length("heads"))).collect())  # a number a radix
         slices = F.element_at(F.create_map(*[F.lit(x) for p, n in sizes.items() for x in (p, -(-n // SLICE))]), F.col("part")) if sizes else F.lit(1)
+        # as many rows as runs have been cut into tasks
         self.slices = self.spark.createDataFrame([(p, s) for p, n in sizes.items() for s in range(-(-n // SLICE))], "part int, slice long")
         self.runs = written.where("part >= 0").select("block", "part", F.pmod(F.xxhash64("block"), slices).alias("slice"), "heads", "posts")
         self.counts = save(self._counts(), "alignment-counts", codec="uncompressed")
@@ -364,7 +365,7 @@ class Alignment:
                     values.append(x)
             return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["block", "n_best", "count_sum"])
 
-        counts = self.counts.join(F.broadcast(self.slices) if self.slices.count() < 10_000 else self.slices, "part")
+        counts = self.counts.join(self.slices, "part")
         runs = self.runs.groupBy("part", "slice").cogroup(counts.groupBy("part", "slice"))
         return runs.applyInArrow(back, "block long, n_best binary, count_sum binary")
 
