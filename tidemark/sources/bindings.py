@@ -20,9 +20,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import json_array_text
 from tidemark.schema import RAW_COLUMNS
+from tidemark.sources.versions import filesystem
 
 # Fixed values of the bindings (FIXTURES.md section 3).
 PART_NULL_ID_MODULUS = 101        # id is NULL when l_partkey % 101 = 0
@@ -35,9 +37,23 @@ SPLIT_DATE = "1998-07-01"         # union_snapshots split point
 DEDUP_MODULUS = 10                # rows with id % 10 = 0 are loaded twice
 
 
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver's Parquet tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read one of the driver's Parquet tables.
+
+    Finding a table's schema is a job of its own; it is remembered for the file or
+    folder as it is (path, size and time of its last change)."""
+    path = f"{sf_dir}/{name}.parquet"
+    fs, hpath = filesystem(spark, path)
+    status = fs.getFileStatus(hpath)
+    key = (path, status.getLen(), status.getModificationTime())
+    if key not in _SCHEMAS:
+        if len(_SCHEMAS) >= 256:
+            _SCHEMAS.clear()
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def quarter_end(ts) -> "F.Column":
