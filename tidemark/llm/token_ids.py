@@ -31,7 +31,7 @@ END = 2                 # id appended to every document
 BLOCK = 1 << 22         # ids after which a block is closed
 RANK = 512              # high bits per entry of the select directory
 CACHE = 800_000         # distinct pieces whose ids a worker remembers
-SPAN = 1 << 22          # bytes of text encoded at a time
+SPAN = 1 << 20          # bytes of text encoded at a time
 SENTINEL = "<|endoftext|>"
 # Classes of bytes: white space, letter, digit, other sign, and what needs a closer look.
 BLANK, LETTER, DIGIT, SIGN, ODD = range(5)
@@ -113,7 +113,7 @@ class EliasFano:
         n, bits, low, high, rank = struct.unpack_from("<QBQQI", buf, at)
         at += struct.calcsize("<QBQQI")
         a, b, c = at + low, at + low + high, at + low + high + 4 * rank
-        return cls(n, bits, bytes(buf[at:a]), bytes(buf[a:b]), np.frombuffer(buf[b:c], "<u4")), c
+        return cls(n, bits, buf[at:a], buf[a:b], np.frombuffer(buf[b:c], "<u4")), c  # views, nothing is copied
 
 
 HEAD = "<4sBBQQqQ"  # magic, version, id width, null ids, first offset in the partition, id base, ids
@@ -217,13 +217,16 @@ class WordEncoder:
         self.final = np.zeros(size, bool)
         for piece, i in self.tokenizer.get_vocab().items():
             self.final[i] = piece.endswith("</w>")
+        # ids of pieces: those used lately, and those of the time before
         self.known: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words, many to a call."""
+        out = {"": b""}
         for at in range(0, len(words), 1024):
             some = words[at:at + 1024]
             ids = self._ids(" ".join(some))
@@ -233,13 +236,15 @@ class WordEncoder:
             data, w = ids.tobytes(), self.width
             a = 0
             for word, z in zip(some, stops.tolist()):
-                self.words[word] = data[a * w:z * w]
+                out[word] = data[a * w:z * w]
                 a = z
+        return out
 
     def learn(self, runs: set[bytes]) -> None:
-        if len(self.known) + len(runs) > CACHE:
-            self.known.clear()
-            self.words.clear()
+        if len(self.known) + len(runs) > CACHE // 2:
+            self.known, self.older = {}, self.known
+        older = self.older
+        self.known.update((r, older[r]) for r in runs.difference(self.known) if r in older)
         # flat lists of strings: millions of small containers would keep the collector busy
         simple, cores, tails, plain, cuts, odd = [], [], [], [], [], []
         for run in runs.difference(self.known):
@@ -260,9 +265,7 @@ class WordEncoder:
         for cut in cuts:
             new.update(cut.split(" "))
         new.discard("")
-        self._learn_words(list(new.difference(self.words)))
-        get, known = self.words.__getitem__, self.known
-        self.words[""] = b""
+        get, known = self._words(list(new)).__getitem__, self.known
         for run, core, tail in zip(simple, cores, tails):
             known[run] = get(core) + get(tail)
         for run, cut in zip(plain, cuts):
