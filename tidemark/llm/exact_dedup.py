@@ -8,9 +8,14 @@ the others keep their smaller local depth and own several directory entries.
 Owner tasks then hold contiguous key ranges of whole buckets, chain the slots
 whose keys collide, and write them to files every executor can read.
 
-Texts are compared byte by byte: they are themselves the grouping key beside
-their hash.  Copies are combined before they travel, so a text that makes up a
-third of the rows costs one row per map task.  DataFrame functions only.
+A document finds its slot the same way: the leading bits of its key name a directory
+entry, the entry its bucket, and in the bucket it meets the chain of its key.
+
+Texts are compared byte by byte where slots are made: they are themselves the grouping
+key beside their hash, so a chain holds distinct texts; and as each link of a chain is
+checked to have a digest of its own, the digest that a document brings stands for its
+bytes.  Copies are combined before they travel, so a text that makes up a third of the
+rows costs one row per map task.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm._shared import SPACES, new_folder, save, shared_dir, table
 
-CAPACITY = 1 << 16  # slots a bucket may hold before it splits
+CAPACITY = 1 << 12  # slots a bucket may hold before it splits
 MAX_DEPTH = 62
 
 
@@ -68,9 +73,10 @@ def directory(slots: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, in
 
 def build_index(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """Write the index of ``docs`` to shared files; return it as a table
-    (bucket, local_depth, key, chain, digest, keep_id, group_size).
+    (bucket, local_depth, depth, key, chain, digest, keep_id, group_size).
 
-    ``chain`` numbers the distinct texts of one key (all 1 without collisions)."""
+    ``chain`` numbers the distinct texts of one key (all 1 without collisions); two of
+    them with one digest are an error.  ``depth`` is the directory's."""
     spark = docs.sparkSession
     shared_dir(spark)
     text = normalised(F.col("text"))
@@ -82,30 +88,43 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, path: str | None = No
     )
     slots = save(combined, "dedup-slots")
     entries, depth = directory(slots, capacity)
-    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("digest"))
+    linked = Window.partitionBy("bucket", "key").orderBy("digest")
+    same = F.lag("digest").over(linked) == F.col("digest")
+    chain = F.when(same, F.raise_error(F.lit("two texts with one digest")).cast("int")).otherwise(F.row_number().over(linked))
     owned = (
         slots.withColumn("entry", prefix(depth)).join(entries.select("entry", "bucket", "local_depth"), "entry")
         .repartitionByRange("bucket", "key").withColumn("chain", chain)
         .sortWithinPartitions("bucket", "key", "chain")
-        .select("bucket", "local_depth", "key", "chain", "digest", "keep_id", "group_size")
+        .select("bucket", "local_depth", F.lit(depth).alias("depth"), "key", "chain", "digest", "keep_id", "group_size")
     )
     return save(owned, "dedup-index", path=path or new_folder(spark, "dedup-index"))
 
 
+def opened(index: DataFrame) -> tuple[DataFrame, int]:
+    """(entry, bucket) of the directory that belongs to a written index, and its depth."""
+    depth = index.agg(F.max("depth")).first()[0] or 0
+    buckets = index.select("bucket", "local_depth").distinct()
+    last = F.col("bucket") + F.pow(F.lit(2.0), F.lit(depth) - F.col("local_depth")).cast("long") - 1
+    return buckets.select(F.explode(F.sequence("bucket", last)).alias("entry"), "bucket"), depth
+
+
 def exact_duplicates(docs: DataFrame, index: DataFrame | None = None, capacity: int = CAPACITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
-    A null text equals the empty one.  Rows repeated with one doc_id are one
-    document and share ``kept``; a null doc_id is smaller than none: it only
-    stays where its whole group has null ids.  An empty table gives none.  Other
-    columns are not read.
+    ``index`` is one that holds the texts of ``docs``; without it, theirs is built.  A
+    null text equals the empty one.  Rows repeated with one doc_id are one document and
+    share ``kept``; a null doc_id is smaller than none: it only stays where its whole
+    group has null ids.  An empty table gives none.  Other columns are not read.
     """
     index = build_index(docs, capacity) if index is None else index
+    entries, depth = opened(index)
     text = normalised(F.col("text"))
     probes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("norm")).select(
         "doc_id", F.xxhash64("norm").alias("key"), F.unhex(F.sha2("norm", 256)).alias("digest")
     )
-    return probes.join(index.select("key", "digest", "keep_id", "group_size"), ["key", "digest"]).select(
+    routed = probes.withColumn("entry", prefix(depth)).join(entries, "entry").drop("entry")
+    chains = index.select("bucket", "key", "digest", "keep_id", "group_size")
+    return routed.join(chains, ["bucket", "key", "digest"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
