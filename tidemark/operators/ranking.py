@@ -70,8 +70,7 @@ def rank_in_group(
     Slice counts come from partial aggregation.  The rows before a slice are summed in
     two levels, steps of the group and slices of the step, so that no task gets all
     slices of a large group.  Slices are fixed functions of the row: both sides of the
-    join agree whenever they run, nothing is sampled or written, and rows, counts and
-    join share one partitioning."""
+    join agree whenever they run, and nothing is sampled or written."""
     if method == "window":
         return df.select("*", F.row_number().over(_window(keys, measure, tie)).cast("long").alias(rank))
     if method != "distributed":
