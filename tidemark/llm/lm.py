@@ -9,8 +9,9 @@ Training and scoring are one pass over two exchanges:
 2. A shard adds up the counts of its contexts and builds their trie: sorted
    contexts, monotone pointers and successors relative to their context, all
    Elias-Fano coded, and probabilities quantised to one byte.  The trie is one flat
-   buffer that can be memory-mapped; it answers the blocks' bigrams by a search
-   among the successors of their context.
+   buffer in mapped memory.  It answers the blocks' bigrams by narrowing the range
+   between two pointers, each entry being selected from the coded bits; no level is
+   ever decoded.
 3. The answers return to their block, which scores its documents.
 
 p(w | h) = c(hw)/c(h) * c(h)/(c(h)+T(h)) for a seen bigram, else T(h)/(c(h)+T(h)) *
@@ -24,6 +25,7 @@ A word is known by its 64-bit hash, a successor within its context by 40 bits.
 from __future__ import annotations
 
 import math
+import mmap
 import struct
 
 import numpy as np
@@ -35,13 +37,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm._shared import UPPER, WORD, fold, save, shared_dir, table
-from tidemark.llm.token_ids import EliasFano
+from tidemark.llm.token_ids import RANK, EliasFano
 
 BLOCK = 1 << 21        # tokens of a block
 SHARD_BYTES = 8 << 20  # text bytes a shard is meant for
 HOT_SAMPLE = 4000      # documents, about, that frequent contexts are looked for in
 FOLDS, HELD_OUT = 5, 1
 START, END = b" start", b" end"  # no word has a space
+CHUNK = 1 << 17        # entries of a level read at a time
 STEP, ABSENT = 0.04, 255  # log10 units of a code; the code of an unseen bigram
 BITS = np.uint64(40)
 LOW40 = np.uint64((1 << 40) - 1)
@@ -86,17 +89,101 @@ def five(a: np.ndarray) -> list[np.ndarray]:
 
 # --- the trie ---------------------------------------------------------------
 
+#: Place of the j-th set bit of each byte.
+PLACE = np.zeros((256, 8), np.uint8)
+for _byte in range(256):
+    _set = [i for i in range(8) if _byte >> i & 1]
+    PLACE[_byte, :len(_set)] = _set
+
+
+def nth_bit(words: np.ndarray, j: np.ndarray, count) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of ``words``: the column that holds the row's j-th set bit, and what is
+    left of j there."""
+    upto = np.cumsum(count(words), axis=1, dtype=np.int16)
+    at = (upto <= j[:, None]).sum(axis=1)
+    row = np.arange(len(j))
+    return at, j - np.where(at > 0, upto[row, at - 1], 0)
+
+
+class Level:
+    """An Elias-Fano sequence read in place: entries by select, searches among them."""
+
+    def __init__(self, coded: EliasFano):
+        self.n, self.low_bits, self.rank = coded.n, coded.low_bits, coded.rank
+        self.high = np.frombuffer(coded.high, "<u8").reshape(-1, RANK // 64)
+        self.low = np.frombuffer(coded.low, np.uint8).reshape(coded.n, -1) if coded.n else np.empty((0, 0), np.uint8)
+
+    def entries(self, i: np.ndarray) -> np.ndarray:
+        """The entries at positions ``i``."""
+        return np.concatenate([np.empty(0, np.uint64), *(self._entries(i[a:a + CHUNK]) for a in range(0, len(i), CHUNK))])
+
+    def _entries(self, i: np.ndarray) -> np.ndarray:
+        block = np.searchsorted(self.rank, i, side="right")
+        j = i - np.where(block > 0, self.rank[block - 1], 0)
+        words, row = self.high[block], np.arange(len(i))
+        word, j = nth_bit(words, j, np.bitwise_count)
+        octets = np.ascontiguousarray(words[row, word]).view(np.uint8).reshape(-1, 8)
+        octet, j = nth_bit(octets, j, np.bitwise_count)
+        place = block * RANK + word * 64 + octet * 8 + PLACE[octets[row, octet], j]
+        low = np.zeros((len(i), 8), np.uint8)
+        low[:, :self.low.shape[1]] = self.low[i]
+        return ((place - i).astype(np.uint64) << np.uint64(self.low_bits)) | low.view("<u8")[:, 0]
+
+    def near(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(from, to) positions between which each key would stand: the blocks whose zeros
+        surround the key's high part."""
+        zeros = RANK * np.arange(1, len(self.rank) + 1) - self.rank.astype(np.int64)  # up to each block's end
+        high = (keys >> np.uint64(self.low_bits)).astype(np.int64)
+        first = np.searchsorted(zeros, high, side="left")
+        last = np.minimum(np.searchsorted(zeros, high + 1, side="left"), len(self.rank) - 1)
+        upto = np.concatenate(([0], self.rank)).astype(np.int64)
+        return np.minimum(upto[np.minimum(first, len(self.rank))], self.n), upto[last + 1]
+
+    def search(self, keys: np.ndarray, low: np.ndarray, high: np.ndarray, least=None, most=None) -> np.ndarray:
+        """Position of each key between ``low`` and ``high``, -1 if not there.
+
+        Entries are hashes, evenly spread between the values ``least`` and ``most`` (by
+        default those that even spread over 64 bits gives), so a key's place is guessed
+        from its value; every third step halves the range, whatever the values are."""
+        low, high, key = low.astype(np.int64), high.astype(np.int64), keys.astype(np.float64)
+        least = low * (2.0**64 / max(self.n, 1)) if least is None else least.astype(np.float64)
+        most = high * (2.0**64 / max(self.n, 1)) if most is None else most.astype(np.float64)
+        out, turn = np.full(len(keys), -1), 0
+        open_ = np.flatnonzero(low < high)
+        while len(open_):
+            a, b = low[open_], high[open_]
+            share = 0.5 if turn % 3 == 2 else np.clip((key[open_] - least[open_]) / np.maximum(most[open_] - least[open_], 1.0), 0.0, 1.0)
+            at = np.minimum(a + (share * (b - a)).astype(np.int64), b - 1)
+            value, mine = self.entries(at), keys[open_]
+            less, more = value < mine, value > mine
+            out[open_[~(less | more)]] = at[~(less | more)]
+            up, down = open_[less], open_[more]
+            low[up], least[up] = at[less] + 1, value[less]
+            high[down], most[down] = at[more], value[more]
+            open_ = open_[(less | more) & (low[open_] < high[open_])]
+            turn += 1
+        return out
+
+
 class Trie:
-    """Contexts, pointers and successors of one shard over one flat buffer."""
+    """Contexts, pointers and successors of one shard over one flat buffer, searched as
+    they are coded."""
 
     def __init__(self, buf):
         view = memoryview(buf)
-        self.contexts, at = EliasFano.from_buffer(view, 0)
-        self.pointers, at = EliasFano.from_buffer(view, at)
-        self.successors, at = EliasFano.from_buffer(view, at)
-        self.counts = np.frombuffer(view, "<u8", self.contexts.n, at)
-        self.codes = np.frombuffer(view, np.uint8, self.successors.n, at + 8 * self.contexts.n)
-        self._keys, self._ptr, self._next = self.contexts.decode(), self.pointers.decode().astype(np.int64), self.successors.decode()
+        contexts, at = EliasFano.from_buffer(view, 0)
+        pointers, at = EliasFano.from_buffer(view, at)
+        successors, at = EliasFano.from_buffer(view, at)
+        self.contexts, self.pointers, self.successors = Level(contexts), Level(pointers), Level(successors)
+        self.counts = np.frombuffer(view, "<u8", contexts.n, at)
+        self.codes = np.frombuffer(view, np.uint8, successors.n, at + 8 * contexts.n)
+
+    @classmethod
+    def mapped(cls, data: bytes) -> Trie:
+        """A trie in anonymous mapped memory: no file, so nothing local to a machine."""
+        area = mmap.mmap(-1, len(data))
+        area.write(data)
+        return cls(area)
 
     @staticmethod
     def build(contexts: np.ndarray, counts: np.ndarray, keys: np.ndarray, seen: np.ndarray) -> bytes:
@@ -116,31 +203,46 @@ class Trie:
 
     def context(self, keys: np.ndarray) -> np.ndarray:
         """Index of each context, -1 if unseen."""
-        if not len(self._keys):
+        if not self.contexts.n:
             return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-        return np.where(self._keys[at] == keys, at, -1)
+        return self.contexts.search(keys, *self.contexts.near(keys))
+
+    def bounds(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, end) of the successors of each context index."""
+        return tuple(self.pointers.entries(context + i).astype(np.int64) for i in (0, 1))
 
     def fanout(self, context: np.ndarray) -> np.ndarray:
         """Number of distinct successors of each context."""
-        if not len(self._keys):
-            return np.zeros(len(context), np.int64)
-        return np.where(context >= 0, self._ptr[context + 1] - self._ptr[context], 0)
+        out = np.zeros(len(context), np.int64)
+        known = np.flatnonzero(context >= 0)
+        first, end = self.bounds(context[known])
+        out[known] = end - first
+        return out
 
     def successor(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Code of each (context index, successor), searched among the context's
         successors; ABSENT if there is none."""
         out = np.full(len(context), ABSENT, np.uint8)
         ask = np.flatnonzero(context >= 0)
-        if len(ask) and len(self._next):
+        if len(ask) and self.successors.n:
             c = context[ask]
-            key = (c.astype(np.uint64) << BITS) | word[ask]
-            at = np.searchsorted(self._next, key)
-            found = at < self._ptr[c + 1]
-            found[found] = self._next[at[found]] == key[found]
-            out[ask[found]] = self.codes[at[found]]
+            each, back = np.unique(c, return_inverse=True)
+            first, end = self.bounds(each)
+            base = c.astype(np.uint64) << BITS
+            at = self.successors.search(base | word[ask], first[back], end[back], base, base + LOW40)
+            out[ask[at >= 0]] = self.codes[at[at >= 0]]
         return out
 
+    def owned(self, shards: int, shard: int) -> tuple[int, int]:
+        """(tokens, distinct words) of the words that belong to a shard, counted there only."""
+        tokens = distinct = 0
+        for a in range(0, self.contexts.n, CHUNK):
+            keys = self.contexts.entries(np.arange(a, min(a + CHUNK, self.contexts.n)))
+            counts = self.counts[a:a + CHUNK][(keys % np.uint64(shards) == np.uint64(shard)) & (keys != np.uint64(START_KEY))]
+            tokens += int(counts.sum())
+            distinct += int((counts > 0).sum())
+        return tokens, distinct
+
 
 # --- blocks -----------------------------------------------------------------
 
@@ -238,15 +340,13 @@ def answer(rows: pa.Table, shards: int) -> pa.Table:
         return rows.select(["block", "shard", "data"])
     blocks = rows.column("block").to_pylist()
     asked = [read_requests(d.as_buffer()) for d in rows.column("data")]
-    trie = Trie(merge(asked))
+    trie = Trie.mapped(merge(asked))
     out = []
     for keys, _, fan, second, _ in asked:
         c = trie.context(keys)
         codes = trie.successor(np.repeat(c, fan), second)
         out.append(pack(trie.counts[c].astype("<u8"), trie.fanout(c).astype("<u4"), codes))
-    own = trie._keys[(trie._keys % np.uint64(shards) == np.uint64(shard)) & (trie._keys != np.uint64(START_KEY))]
-    counts = trie.counts[trie.context(own)].astype(np.int64)
-    out.append(pack(np.array([counts.sum(), (counts > 0).sum()], "<i8")))
+    out.append(pack(np.array(trie.owned(shards, shard), "<i8")))
     # totals go to many blocks of their own: they only pass through
     return pa.table([[*blocks, -1 - shard], [shard] * len(out), out], schema=SCHEMA)
 
