@@ -30,7 +30,7 @@ from tidemark.llm.units import binaries, buffers, gather, packed, spans
 END = 2                 # id appended to every document
 BLOCK = 1 << 22         # ids after which a block is closed
 RANK = 512              # high bits per entry of the select directory
-CACHE = 800_000         # distinct pieces whose ids a worker remembers
+CACHE = 500_000         # distinct pieces whose ids a worker remembers
 SPAN = 1 << 20          # bytes of text encoded at a time
 SENTINEL = "<|endoftext|>"
 # Classes of bytes: white space, letter, digit, other sign, and what needs a closer look.
