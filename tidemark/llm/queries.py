@@ -25,6 +25,5 @@ ORACLE: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.SQL,
     "op8_decontaminate": decontaminate.SQL,
     "op10_warc": warc.SQL,
-    "op12_alignment": alignment.op12_alignment,
     "op13_lexical_search": lexical.SQL,
 }
